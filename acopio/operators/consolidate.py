@@ -48,12 +48,12 @@ def consolidate(spark: SparkSession, stages: Mapping[str, DataFrame | None] | Da
     for i, (name, df) in enumerate(named):
         if df is None:
             continue
-        if C.is_status(df.columns):
-            first = df.select("estado", "error").limit(1)
-        elif set(C.AUDIT.fieldNames()) <= set(df.columns):
+        if set(C.AUDIT.fieldNames()) <= set(df.columns):  # also holds the status columns
             first = df.select(
                 "estado", F.when(F.col("error") != "", F.col("error")).otherwise(F.col("error1")).alias("error")
             )
+        elif C.is_status(df.columns):
+            first = df.select("estado", "error").limit(1)
         else:
             log.add(f"{name}: sin contrato estandarizado")
             continue

@@ -33,27 +33,31 @@ def with_extras(df: DataFrame, extras: str | Iterable[str] | None) -> DataFrame:
     return df.selectExpr("*", *extra_expressions(extras))
 
 
-def cast_to_target(df: DataFrame, target: T.StructType, count_lost: bool = False) -> DataFrame:
-    """Columns the target has, by name in any case, take its type; a value that does not fit is NULL.
+def _recast(df: DataFrame, target: T.StructType | None) -> dict[str, T.DataType]:
+    """Columns of ``df`` the target holds with another type, by name in any case."""
+    wanted = {f.name.lower(): f.dataType for f in target or []}
+    return {
+        f.name: wanted[f.name.lower()]
+        for f in df.schema
+        if f.name.lower() in wanted and wanted[f.name.lower()] != f.dataType
+    }
+
+
+def cast_to_target(df: DataFrame, target: T.StructType) -> DataFrame:
+    """Columns the target has take its type; a value that does not fit is NULL. New columns pass."""
+    recast = _recast(df, target)
+    return df.select(
+        *[quoted(c).try_cast(recast[c]).alias(c) if c in recast else quoted(c) for c in df.columns]
+    )
 
-    With ``count_lost`` a column ``_lost`` counts the values of the row that became NULL.
-    """
-    wanted = {f.name.lower(): f.dataType for f in target}
-    out: list[Column] = []
-    lost: list[Column] = []
-    for field in df.schema:
-        to = wanted.get(field.name.lower())
-        source = quoted(field.name)
-        if to is None or to == field.dataType:
-            out.append(source)
-            continue
-        cast = source.try_cast(to)
-        out.append(cast.alias(field.name))
-        lost.append((source.isNotNull() & cast.isNull()).cast("int"))
-    if count_lost:
-        total = sum(lost[1:], lost[0]) if lost else F.lit(0)
-        out.append(total.alias("_lost"))
-    return df.select(*out)
+
+def lost_values(df: DataFrame, target: T.StructType | None) -> Column:
+    """How many values of a row the cast to the target turns into NULL."""
+    lost: Column = F.lit(0)
+    for name, to in _recast(df, target).items():
+        source = quoted(name)
+        lost = lost + (source.isNotNull() & source.try_cast(to).isNull()).cast("int")
+    return lost
 
 
 def lineage(

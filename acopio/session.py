@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     target = scratch_path(spark, label)
     df.write.parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``stage`` for work that ends here: the written table is removed afterwards."""
+    spark = df.sparkSession
+    target = scratch_path(spark, label)
+    try:
+        df.write.parquet(target)
+        yield spark.read.schema(df.schema).parquet(target)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(target)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

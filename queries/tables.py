@@ -126,7 +126,8 @@ def cast_to_target(spark: SparkSession, sf: str) -> DataFrame:
         "c_name",
     )
     target = spark.createDataFrame([], "c_custkey bigint, C_ACCTBAL double, Tag int, other date").schema
-    return shaping.cast_to_target(text, target, count_lost=True).withColumnRenamed("_lost", "lost")
+    counted = text.withColumn("lost", shaping.lost_values(text, target))
+    return shaping.cast_to_target(counted, target)
 
 
 @query(
