@@ -77,7 +77,7 @@ def readiness(
 ) -> DataFrame:
     """Adds ``ready``: not empty, and old enough or of the same size in a second listing.
 
-    Without a second listing a young file counts as still growing.
+    The second listing needs the young files only; one it lacks counts as still growing.
     """
     now = F.lit(now) if isinstance(now, int) else now
     old_enough = (now - F.col("remote_mtime")) >= skip_wait_age

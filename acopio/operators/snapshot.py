@@ -87,10 +87,11 @@ def snapshot_delta(
         .where(differs)
         .select(*[new[c] for c in new.columns], F.col("_op").alias(OPERATION))
     )
-    gone = changed.where(F.col("_op") == OP_DELETE).select("_key")
-    removed = (
-        old.join(gone, old[key] == gone["_key"], "left_semi").where(has_fp).withColumn(OPERATION, F.lit(OP_DELETE))
-    )
+    # '-' sorts before any fingerprint, so a key's lowest one tells whether a row of it
+    # lacks one; only then has the row's own fingerprint to be looked at
+    gone = changed.where(F.col("_op") == OP_DELETE).select("_key", (F.col("_old_low") == NO_FINGERPRINT).alias("_bare"))
+    matched = (old[key] == gone["_key"]) & (~gone["_bare"] | has_fp)
+    removed = old.join(gone, matched, "left_semi").withColumn(OPERATION, F.lit(OP_DELETE))
     keyless_new = new.where(F.col(key).isNull() & has_fp).withColumn(OPERATION, F.lit(OP_NONE))
     keyless_old = old.where(F.col(key).isNull() & has_fp).withColumn(OPERATION, F.lit(OP_NONE))
 

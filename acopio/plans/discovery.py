@@ -69,4 +69,4 @@ def checkpoint_path(bucket_raw: str, checkpoint_prefix: str) -> str:
 
 def commit(files: DataFrame, path: str) -> None:
     """Record files as read (``path, source_file``), after their rows were written."""
-    files.select(*C.READER_CHECKPOINT.fieldNames()).coalesce(1).write.mode("append").parquet(path)
+    files.select(*C.READER_CHECKPOINT.fieldNames()).hint("rebalance").write.mode("append").parquet(path)

@@ -12,7 +12,7 @@ from ..operators import landing
 from ..session import stage
 from ..sinks.landing_zone import copy_files, with_content_hash
 from ..sources import tables
-from ..sources.listing import walk_tree
+from ..sources.listing import sizes_now, walk_tree
 
 
 @dataclass
@@ -111,9 +111,9 @@ def _run(
     young = listing.where((F.lit(now) - F.col("remote_mtime")) < skip_age)
     again = None
     if not young.isEmpty():
-        # one wait for the whole run, then one more look at the tree
+        # one wait for the whole run, then one more look at the young files
         time.sleep(wait)
-        again = walk_tree(spark, source_uri, store_options)[0]
+        again = stage(sizes_now(young, store_options), "landing-again")
     decided = stage(landing.decide_by_metadata(listing, checkpoint, now, again, skip_age), "landing-decided")
 
     open_files = decided.where(F.col("status").isNull()).select(*C.LISTING.fieldNames())
@@ -126,8 +126,9 @@ def _run(
     landed = copied.where(F.col("status") == C.PROCESADO)
     names = [f for f in C.LANDING_CHECKPOINT.fieldNames() if f != "ingestion_ts"]
     if not landed.isEmpty():
-        # the checkpoint is small state, written once per run
-        landed.select(*names).withColumn("ingestion_ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(control)
+        # once per run, in files of a sensible size
+        known = landed.select(*names).withColumn("ingestion_ts", F.current_timestamp())
+        known.hint("rebalance").write.mode("append").parquet(control)
         log.add("Checkpoints persistidos")
 
     fields = C.LANDING_RESULT.fieldNames()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import ExitStack
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
@@ -149,7 +150,8 @@ def _write_rows(
     if schema is not None and partitioned:
         # a period read back from folder names has a guessed type; the rows keep theirs
         schema = type(schema)([f for f in schema if f.name.lower() != sinks.PERIOD])
-    if partitioned and not _one_period(spark, extras):
+    one_period = _one_period(extras, df.columns)
+    if partitioned and not one_period:
         rows = sinks.by_period(rows)
 
     # count, range, checksum and lost values are taken while the rows are written
@@ -169,7 +171,8 @@ def _write_rows(
     else:
         log.add("Aplicar Cast Destino omitido, destino aún no existe")
 
-    WRITERS[(fmt, kind)](rows, unseen, target, spec, stock_delta, condition, options, log)
+    job = Job(target, condition, stock_delta, str(spec["p_requiere_shist"]) == "1", one_period, options, log)
+    WRITERS[(fmt, kind)](rows, unseen, job)
     facts = seen.get
     if facts["lost"]:
         log.add(f"Valores nulos por Cast Destino: {facts['lost']}")
@@ -194,11 +197,11 @@ def _write_rows(
     }
 
 
-def _one_period(spark: SparkSession, extras: str) -> bool:
+def _one_period(extras: str, columns: list[str]) -> bool:
     """True when the period of the rows is a constant of the extra expressions."""
     for expression in shaping.extra_expressions(extras):
         if expression.lower().rstrip("`").endswith(sinks.PERIOD):
-            return sinks.is_constant(spark, expression)
+            return sinks.is_constant(expression, columns)
     return False
 
 
@@ -211,51 +214,64 @@ def _period_ends(rows: DataFrame) -> list:
 # --- one function per (format, kind) -------------------------------------------
 
 
-def _parquet_history(rows, unseen, target, spec, stock_delta, condition, options, log) -> None:
-    if condition and loose_flag(options.get("reemplazo_parquet", False)):
+@dataclass
+class Job:
+    """What a writer needs besides the rows."""
+
+    target: str
+    condition: str | None
+    stock_delta: bool
+    keep_history: bool
+    one_period: bool
+    options: dict
+    log: C.StepLog
+
+
+def _parquet_history(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
+    if job.condition and loose_flag(job.options.get("reemplazo_parquet", False)):
         sinks.replace_where_or_range(
-            unseen, condition, lambda c: sinks.replace_where(rows, target, c, checked=unseen)
+            unseen, job.condition, lambda c: sinks.replace_where(rows, job.target, c, checked=unseen)
         )
     else:
-        sinks.write_history(rows, target)
-    log.add("Guardar PARQUET - HISTORY")
+        sinks.write_history(rows, job.target)
+    job.log.add("Guardar PARQUET - HISTORY")
 
 
-def _parquet_stock(rows, unseen, target, spec, stock_delta, condition, options, log) -> None:
+def _parquet_stock(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
     spark = rows.sparkSession
     with ExitStack() as stack:
-        if stock_delta:
+        if job.stock_delta:
             # written down first: the comparison and the table both start from it, and
             # the old table is still whole while the changes are worked out
             rows = stack.enter_context(staged(rows, "new-stock"))
-            _write_stock_delta(spark, rows, target, "parquet", log)
-        sinks.write_stock(rows, target)
-        log.add("Guardar PARQUET - STOCK")
-    if str(spec["p_requiere_shist"]) == "1":
-        current = tables.read_table(spark, target)
-        sinks.write_history(sinks.by_period(current), f"{target}_shist")
-        log.add("Guardar PARQUET - STOCK_SHIST")
+            _write_stock_delta(spark, rows, job.target, "parquet", job.log)
+        sinks.write_stock(rows, job.target)
+        job.log.add("Guardar PARQUET - STOCK")
+    if job.keep_history:
+        current = tables.read_table(spark, job.target)
+        sinks.write_history(current if job.one_period else sinks.by_period(current), f"{job.target}_shist")
+        job.log.add("Guardar PARQUET - STOCK_SHIST")
 
 
-def _delta_history(rows, unseen, target, spec, stock_delta, condition, options, log) -> None:
-    sinks.replace_where_or_range(unseen, condition, lambda c: sinks.delta_replace(rows, c, target))
-    log.add("Guardar DELTA - HISTORY")
+def _delta_history(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
+    sinks.replace_where_or_range(unseen, job.condition, lambda c: sinks.delta_replace(rows, c, job.target))
+    job.log.add("Guardar DELTA - HISTORY")
 
 
-def _delta_stock(rows, unseen, target, spec, stock_delta, condition, options, log) -> None:
+def _delta_stock(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
     spark = rows.sparkSession
     with ExitStack() as stack:
-        if stock_delta:
+        if job.stock_delta:
             rows = stack.enter_context(staged(rows, "new-stock"))
-            _write_stock_delta(spark, rows, target, "delta", log)
-        sinks.delta_stock(rows, target)
-        log.add("Guardar DELTA - STOCK")
-    if str(spec["p_requiere_shist"]) == "1":
-        current = tables.read_table(spark, target, "delta")
+            _write_stock_delta(spark, rows, job.target, "delta", job.log)
+        sinks.delta_stock(rows, job.target)
+        job.log.add("Guardar DELTA - STOCK")
+    if job.keep_history:
+        current = tables.read_table(spark, job.target, "delta")
         sinks.replace_where_or_range(
-            current, condition, lambda c: sinks.delta_replace(current, c, f"{target}_shist")
+            current, job.condition, lambda c: sinks.delta_replace(current, c, f"{job.target}_shist")
         )
-        log.add("Guardar DELTA - STOCK_SHIST")
+        job.log.add("Guardar DELTA - STOCK_SHIST")
 
 
 WRITERS = {
@@ -266,10 +282,12 @@ WRITERS = {
 }
 
 
-def period_of(df: DataFrame) -> str:
-    """The one period of a stock snapshot, as text. More than one is an error."""
+def period_of(df: DataFrame) -> str | None:
+    """The one period of a stock snapshot, as text; None without rows. More than one is an error."""
     text = quoted(sinks.PERIOD).cast("string")
-    ends = df.agg(F.min(text).alias("low"), F.max(text).alias("high")).first()
+    ends = df.agg(F.min(text).alias("low"), F.max(text).alias("high"), F.count(F.lit(1)).alias("n")).first()
+    if ends.n == 0:
+        return None
     if ends.low != ends.high:
         raise ValueError(f"a stock snapshot must hold one periodo, found {ends.low} to {ends.high}")
     return ends.low or ""
@@ -280,7 +298,7 @@ def _write_stock_delta(spark: SparkSession, new: DataFrame, target: str, fmt: st
 
     The first time there is nothing to compare with, and every row counts as inserted.
     """
-    new_period = period_of(new)
+    new_period = period_of(new) or ""
     log.add(f"Periodo Actual Delta: {new_period}")
     changes_at = f"{target}_sdelta"
     previous = ""
@@ -288,21 +306,21 @@ def _write_stock_delta(spark: SparkSession, new: DataFrame, target: str, fmt: st
         previous = summary.last_period(spark.read.schema(f"{sinks.PERIOD} string").parquet(changes_at)).first()[0]
     log.add(f"Periodo Ultimo Delta: {previous}")
 
-    old = None
+    old, old_period = None, None
     if tables.target_schema(spark, target, fmt) is not None:
         old = tables.read_table(spark, target, fmt)
-        if old.isEmpty():
-            old = None
-    if previous == "" or old is None:
+        old_period = period_of(old)
+    if previous == "" or old_period is None:
         first = snapshot.first_delta(new).withColumn(sinks.PERIOD, F.lit(new_period))
         sinks.write_sdelta(first, target, append=False)
         log.add(f"Escritura primera vez, {changes_at}")
         return
-    delta = snapshot.snapshot_delta(new, old, new_period=new_period, old_period=period_of(old))
-    with staged(delta, "stock-delta") as changes:
-        count = changes.count()
-        log.add(f"Conteo delta {count}")
-        if count:
-            append = previous == new_period
-            sinks.write_sdelta(changes, target, append=append)
-            log.add(f"Escritura delta modo {'append' if append else 'overwrite'}")
+    delta = snapshot.snapshot_delta(new, old, new_period=new_period, old_period=old_period)
+    # few changes come from many tasks: gathered into files of a sensible size, counted on the way.
+    # without changes nothing is written, and no period is replaced
+    seen = Observation()
+    changes = delta.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("n"))
+    append = previous == new_period
+    sinks.write_sdelta(changes, target, append=append)
+    log.add(f"Conteo delta {seen.get['n']}")
+    log.add(f"Escritura delta modo {'append' if append else 'overwrite'}")

@@ -90,6 +90,19 @@ def _list_one(store: Store, directory: str, rows_per_frame: int = 10_000) -> Ite
         yield pd.DataFrame(rows, columns=columns).astype({"remote_size": "Int64", "remote_mtime": "Int64"})
 
 
+def sizes_now(files: DataFrame, store_options: dict | None = None) -> DataFrame:
+    """``path, remote_size`` of the given files as they are at this moment; files that went away are left out."""
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store = Store(store_options)
+        for batch in batches:
+            sizes = [store.info(p).size for p in batch["path"]]
+            found = pd.DataFrame({"path": batch["path"], "remote_size": pd.array(sizes, dtype="Int64")})
+            yield found.dropna()
+
+    return spread(files.select("path"), "path").mapInPandas(look, "path string, remote_size bigint")
+
+
 def qualified(path: "F.Column", spark: SparkSession) -> "F.Column":
     """Paths as Spark's file metadata spells them: with a scheme, local ones as ``file:/``."""
     default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"

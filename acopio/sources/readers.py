@@ -277,6 +277,8 @@ def _json_layouts(catalogue: DataFrame, options: Options, files_per_scan: int) -
     infer one type for both. Not needed where the reader keeps values as text.
     """
     opts = options.get("json") or {}
+    if "json" not in options:
+        return catalogue
     todo = catalogue.where((F.col("ext") == "json") & F.col("error").isNull() & ~F.col("is_dir"))
     if flag(opts, "primitivesAsString") or todo.isEmpty():
         return catalogue
@@ -328,13 +330,15 @@ def _inferred_csv_layouts(catalogue: DataFrame, options: Options, files_per_scan
     Types are inferred per file, so files whose columns hold different kinds of
     value are read by different scans.
     """
-    spark = catalogue.sparkSession
     inferring = [
         e for e in ("csv", "txt") if reader_for(e, options.get(e) or {}) == "csv" and flag(options.get(e) or {}, "inferSchema")
     ]
+    if not inferring:
+        return catalogue
+    spark = catalogue.sparkSession
     todo = catalogue.where(
         F.col("ext").isin(*inferring) & F.col("error").isNull() & ~F.col("is_dir") & (F.col("layout") != EMPTY)
-    ) if inferring else catalogue.limit(0)
+    )
     parts = []
     for group in _groups(todo.withColumn("kind", F.lit(""))):
         opts = {**(options.get(group.ext) or {}), "inferSchema": "false"}

@@ -95,7 +95,7 @@ def parquet_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT lang, sum(octet_length(encode(text)) + 1) AS bytes, true AS has_relative_path FROM documents GROUP BY lang"""
+    """SELECT lang, cast(sum(octet_length(encode(text)) + 1) AS bigint) AS bytes, true AS has_relative_path FROM documents GROUP BY lang"""
 )
 def listed_bytes(spark: SparkSession, sf: str) -> DataFrame:
     """Sizes of the files below a folder, from the listing alone."""

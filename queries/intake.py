@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from acopio import contracts as C
 from acopio.functions import base_name, dataset_name, file_type, loose_bool, loose_int, reader_options, relative_path
 from acopio.operators import consolidate as cons, discovery, landing
+from acopio.session import stage
 
 from .inputs import MTIME0, ROOT, SOURCE_ROOT, files, files_sql, labelled, table
 from .registry import query
@@ -148,12 +149,13 @@ def expected_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _remote(spark: SparkSession, sf: str) -> DataFrame:
-    return files(spark, sf, SOURCE_ROOT)
+    """The remote files; every text is hashed once, however often the files are looked at."""
+    return stage(files(spark, sf, SOURCE_ROOT), "remote-files")
 
 
-def _landing_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+def _landing_checkpoint(remote: DataFrame, sf: str) -> DataFrame:
     """Good reviewed files were landed as they are, the others under another name, with the same content."""
-    done = _remote(spark, sf).join(labelled(spark, sf), "doc_id")
+    done = remote.join(labelled(remote.sparkSession, sf), "doc_id")
     return done.select(
         F.when(F.col("quality") == 1, F.col("relative_path"))
         .otherwise(F.concat(F.lit("old/"), F.col("relative_path")))
@@ -169,13 +171,14 @@ def _now(spark: SparkSession, sf: str) -> int:
     return MTIME0 + newest + 20
 
 
-def _decisions(spark: SparkSession, sf: str) -> DataFrame:
-    remote = _remote(spark, sf)
-    again = remote.withColumn(
+def _decisions(remote: DataFrame, sf: str) -> DataFrame:
+    now = _now(remote.sparkSession, sf)
+    young = remote.where(F.lit(now) - F.col("remote_mtime") < C.READINESS_SKIP_WAIT_AGE_SECONDS)
+    again = young.withColumn(
         "remote_size", F.when(F.col("relative_path").contains("/en_"), F.col("remote_size")).otherwise(F.col("remote_size") + 1)
     )
     return landing.decide_by_metadata(
-        remote.drop("doc_id"), _landing_checkpoint(spark, sf), _now(spark, sf), again.select("path", "remote_size")
+        remote.drop("doc_id"), _landing_checkpoint(remote, sf), now, again.select("path", "remote_size")
     )
 
 
@@ -196,7 +199,8 @@ _DECISION_SQL = f"""SELECT f.path, f.relative_path, f.remote_size, f.remote_mtim
 
 @query(f"SELECT path, status, stage, message FROM ({_DECISION_SQL})")
 def landing_decision(spark: SparkSession, sf: str) -> DataFrame:
-    return _decisions(spark, sf).select("path", "status", "stage", "message")
+    # from metadata alone: nothing is hashed
+    return _decisions(files(spark, sf, SOURCE_ROOT), sf).select("path", "status", "stage", "message")
 
 
 _RESULT_SQL = f"""SELECT path AS source,
@@ -210,8 +214,9 @@ _RESULT_SQL = f"""SELECT path AS source,
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
     """Landing results up to the copy itself."""
-    decided = _decisions(spark, sf)
-    checkpoint = _landing_checkpoint(spark, sf)
+    remote = _remote(spark, sf)
+    decided = stage(_decisions(remote, sf), "decided")
+    checkpoint = _landing_checkpoint(remote, sf)
     candidates = decided.where(F.col("status").isNull())
     fresh = landing.first_per_content(candidates, checkpoint)
     landed = fresh.select(
@@ -234,7 +239,7 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
 )
 def content_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """First path per content over every file, contents landed earlier excluded."""
-    f = files(spark, sf)
+    f = stage(files(spark, sf).select("doc_id", "path", "hash"), "hashed-files")
     done = f.join(labelled(spark, sf).where("quality = 0"), "doc_id").select("hash")
     return landing.first_per_content(f.select("path", "hash"), done)
 
