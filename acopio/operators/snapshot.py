@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..contracts import OP_DELETE, OP_INSERT, OP_NONE, OP_UPDATE
+from ..functions import fingerprint_columns, row_md5
 from ..session import stage
 
 OPERATION = "sdelta_operacion"
@@ -18,13 +19,21 @@ COMPARED_PERIOD = "sdelta_periodo_compararacion"
 NO_FINGERPRINT = "-"
 
 
+def _with_fingerprint(df: DataFrame, fingerprint: str, described: list[str]) -> DataFrame:
+    """The frame with its fingerprint; computed here when it is not stored."""
+    if fingerprint.lower() in (c.lower() for c in df.columns):
+        return df
+    return df.withColumn(fingerprint, row_md5(df, described))
+
+
 def _fp(fingerprint: str) -> Column:
     return F.coalesce(F.col(fingerprint), F.lit(NO_FINGERPRINT))
 
 
 def _per_key(df: DataFrame, key: str, fingerprint: str, side: str) -> DataFrame:
+    described = fingerprint_columns(df)
     return (
-        df.where(F.col(key).isNotNull())
+        _with_fingerprint(df.where(F.col(key).isNotNull()), fingerprint, described)
         .select(F.col(key).alias("_key"), _fp(fingerprint).alias("_fp"))
         .groupBy("_key")
         .agg(F.min("_fp").alias(f"_{side}_low"), F.max("_fp").alias(f"_{side}_high"))
@@ -66,6 +75,8 @@ def snapshot_delta(
     given once, however many old rows share its key. Nothing is compared when
     the new period lies before the old one.
 
+    A side without the fingerprint column gets it from its own columns.
+
     ``staged`` writes the changed keys to the shared folder first. Their true
     size is then known when the full rows are joined to them, and a small change
     set is broadcast without shuffling either snapshot.
@@ -76,24 +87,23 @@ def snapshot_delta(
     if staged:
         changed = stage(changed, "snapshot-keys")
 
+    def printed(df: DataFrame, described: DataFrame) -> DataFrame:
+        return _with_fingerprint(df, fingerprint, fingerprint_columns(described))
+
+    # fingerprints that are not stored are worked out after the join, for changed keys only
     has_fp = _fp(fingerprint) != NO_FINGERPRINT
-    incoming = changed.where(F.col("_op") != OP_DELETE).select("_key", "_op", "_old_low", "_old_high")
-    differs = (
-        (_fp(fingerprint) != F.coalesce(F.col("_old_low"), F.lit(NO_FINGERPRINT)))
-        | (_fp(fingerprint) != F.coalesce(F.col("_old_high"), F.lit(NO_FINGERPRINT)))
-    )
-    written = (
-        new.join(incoming, new[key] == incoming["_key"], "inner")
-        .where(differs)
-        .select(*[new[c] for c in new.columns], F.col("_op").alias(OPERATION))
-    )
-    # '-' sorts before any fingerprint, so a key's lowest one tells whether a row of it
-    # lacks one; only then has the row's own fingerprint to be looked at
+    incoming = changed.where(F.col("_op") != OP_DELETE)
+    low, high = (F.coalesce(F.col(c), F.lit(NO_FINGERPRINT)) for c in ("_old_low", "_old_high"))
+    fetched = printed(new.join(incoming, new[key] == incoming["_key"], "inner"), new)
+    written = fetched.where((_fp(fingerprint) != low) | (_fp(fingerprint) != high)).withColumn(OPERATION, F.col("_op"))
+    written = written.drop(*changed.columns)
+    # '-' sorts before any fingerprint: a key's lowest one tells whether a row of it lacks one
     gone = changed.where(F.col("_op") == OP_DELETE).select("_key", (F.col("_old_low") == NO_FINGERPRINT).alias("_bare"))
-    matched = (old[key] == gone["_key"]) & (~gone["_bare"] | has_fp)
-    removed = old.join(gone, matched, "left_semi").withColumn(OPERATION, F.lit(OP_DELETE))
-    keyless_new = new.where(F.col(key).isNull() & has_fp).withColumn(OPERATION, F.lit(OP_NONE))
-    keyless_old = old.where(F.col(key).isNull() & has_fp).withColumn(OPERATION, F.lit(OP_NONE))
+    dropped = printed(old.join(gone, old[key] == gone["_key"], "inner"), old)
+    removed = dropped.where(~F.col("_bare") | has_fp).withColumn(OPERATION, F.lit(OP_DELETE)).drop("_key", "_bare")
+    keyless_new, keyless_old = (
+        printed(df.where(F.col(key).isNull()), df).where(has_fp).withColumn(OPERATION, F.lit(OP_NONE)) for df in (new, old)
+    )
 
     new_side = written.unionByName(keyless_new)
     old_side = removed.unionByName(keyless_old)

@@ -192,10 +192,7 @@ def _fingerprinted(df: DataFrame) -> DataFrame:
 )
 def snapshot_delta(spark: SparkSession, sf: str) -> DataFrame:
     delta = snapshot.snapshot_delta(
-        _fingerprinted(new_orders(spark, sf)),
-        _fingerprinted(old_orders(spark, sf)),
-        new_period="2024-02",
-        old_period="2024-01",
+        new_orders(spark, sf), old_orders(spark, sf), new_period="2024-02", old_period="2024-01"
     )
     return delta.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
 
