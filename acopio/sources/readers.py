@@ -205,6 +205,10 @@ def _load(spark: SparkSession, ext: str, options: dict[str, str], paths: list[st
         for name, value in options.items():
             reader = reader.option(name, value)
     where = [_literal(p) for p in paths]
+    if form == "csv" and not flag(options, "inferSchema"):
+        # all files of a scan have one layout: one file names the columns, and the
+        # others are listed once and not once more to look for a header
+        return reader.schema(reader.csv(where[0]).schema).csv(where)
     if form == "csv":
         return reader.csv(where)
     if form == "text":
