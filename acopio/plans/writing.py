@@ -106,13 +106,21 @@ def _write_one(spark: SparkSession, df: DataFrame, spec: Row, options: dict, zon
             audit["estado"] = C.FINALIZADO
             log.add("Obtener Resumen")
     except Exception as exc:
-        audit.update(estado=C.FALLIDO, error=C.error_text(exc))
+        audit.update(estado=C.FALLIDO, error=C.error_text(exc), cantidad_leidos=_count_or_zero(df))
     audit["fecha_fin"] = _local_now(spark, zone)
     audit["log_control"] = log.last
     audit["log_detail"] = f"{log} Ubicacion: {target}" if audit["estado"] == C.FINALIZADO else str(log)
     return audit
 
 
+def _count_or_zero(df: DataFrame) -> int:
+    """Rows read, for the audit row of a failed write; a frame that cannot be read has none."""
+    try:
+        return df.count()
+    except Exception:
+        return 0
+
+
 def prepared_rows(df: DataFrame, extras: str | None, *, md5: bool, zone: str, legacy: bool = False) -> DataFrame:
     """Rows as they go to a table: no control columns, extras, fingerprints, local load time."""
     base = shaping.drop_control(df)

@@ -99,7 +99,8 @@ def read_files(
     whole run as well, read it in waves (``plans.reading.read_waves``).
     """
     spark = manifest.sparkSession
-    full = discovery.with_defaults(manifest)
+    # the manifest is looked at several times below; how it came about is worked out once
+    full = stage(discovery.with_defaults(manifest), "read-manifest")
     targets, refused = targets_of(full, options, unzip_to=unzip_to, run_id=run_id, store_options=store_options)
     stamp = F.lit(ingestion_ts) if ingestion_ts else F.lit(spark.range(1).select(F.current_timestamp().cast("string")).first()[0])
 
@@ -129,16 +130,14 @@ def read_files(
             for scan in _scan(spark, group.ext, opts, paths, late_errors):
                 frames.append(_with_lineage(scan, to_scan, group, run_id, stamp))
 
-    late = spark.createDataFrame(late_errors, "read_path string, message string")
     read = readable.select("read_path", "path", "source_file")
-    failed = (
-        read.join(late, "read_path")
-        .select("path", "source_file", "message")
-        .unionByName(refused)
-        .unionByName(
-            catalogue.where(F.col("error").isNotNull()).select("path", "source_file", F.col("error").alias("message"))
-        )
+    failed = refused.unionByName(
+        catalogue.where(F.col("error").isNotNull()).select("path", "source_file", F.col("error").alias("message"))
     )
+    if late_errors:
+        late = spark.createDataFrame(late_errors, "read_path string, message string")
+        failed = failed.unionByName(read.join(late, "read_path").select("path", "source_file", "message"))
+        read = read.join(late, "read_path", "left_anti")
     errors = failed.select(
         "path",
         F.lit(C.ERROR_LECTURA).alias("record_status"),
@@ -149,7 +148,7 @@ def read_files(
     return ReadResult(
         rows=shaping.union_all(frames),
         errors=shaping.error_rows(errors),
-        files=read.join(late, "read_path", "left_anti").select("path", "source_file"),
+        files=read.select("path", "source_file"),
     )
 
 

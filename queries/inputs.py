@@ -19,8 +19,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # --- documents seen as files: path, size, modification time ------------------
 
 _EXT = (
-    "CASE doc_id % 6 WHEN 0 THEN '.csv' WHEN 1 THEN '.txt.gz' WHEN 2 THEN '.json' "
-    "WHEN 3 THEN '.parquet' WHEN 4 THEN '.xlsx' ELSE '.dat' END"
+    "CASE WHEN right(source, 1) IN ('0', '1') THEN '.csv' WHEN right(source, 1) IN ('2', '3') THEN '.txt.gz' "
+    "WHEN right(source, 1) = '4' THEN '.json' WHEN right(source, 1) = '5' THEN '.parquet' "
+    "WHEN right(source, 1) IN ('6', '7') THEN '.xlsx' ELSE '.dat' END"
 )
 
 

@@ -181,6 +181,7 @@ def test_many_targets_one_failing(spark, tmp_path):
     assert {n: r.estado for n, r in by.items()} == {
         "a": "FINALIZADO", "b": "FALLIDO", "c": "FALLIDO", "d": "FINALIZADO", "e": "FALLIDO"
     }
+    assert by["b"].cantidad_leidos == 1 and by["b"].cantidad_insertados == 0
     assert by["b"].error == "Combinación no soportada para escritura: tipo_escritura=orc, tipo_tabla=history"
     assert "ingesta_md5" in spark.read.parquet(f"{tmp_path}/a").columns
     status = consolidate(spark, {"guardado": out}).first()
