@@ -60,7 +60,8 @@ def discover(
     path = checkpoint_path(raw, checkpoint_prefix)
     if not tables.has_files(spark, path):
         return manifest
-    return discovery.exclude_processed(manifest, spark.read.parquet(path))
+    # read in its full layout: older files of it may lack a column
+    return discovery.exclude_processed(manifest, tables.read_checkpoint(spark, path, C.READER_CHECKPOINT))
 
 
 def checkpoint_path(bucket_raw: str, checkpoint_prefix: str) -> str:

@@ -11,7 +11,7 @@ from ..operators.consolidate import consolidate
 from ..sources import tables
 from ..sources.readers import ReadResult
 from .discovery import checkpoint_path, commit, discover
-from .landing import LandingRun, land
+from .landing import LandingRun, land, landed_so_far
 from .reading import read_normalise
 from .writing import write_tables
 
@@ -34,9 +34,18 @@ def run_flow(
     options: dict,
     store_options: dict | None = None,
 ) -> FlowRun:
-    """One ingestion run. Files count as read only once every target has been written."""
+    """One ingestion run. Files count as read only once every target has been written.
+
+    Files are read from everything landed and not yet read, so those of an earlier
+    run that ended with errors are not forgotten.
+    """
     landed = land(spark, landing_params, options, store_options)
     pending = discover(spark, landed.outcome, discovery_params, options)
+    if landed.results is not None:
+        uri = tables.parameter(tables.parameter_rows(landing_params)[0], "landing_uri")
+        unread = discover(spark, landed_so_far(spark, uri, options), discovery_params, options)
+        if not unread.isEmpty():
+            pending = unread
     read = read_normalise(spark, pending, read_params, options, store_options=store_options)
     rows = read.output() if isinstance(read, ReadResult) else read
     audit = write_tables(spark, rows, write_specs, options)

@@ -75,7 +75,7 @@ def land(spark: SparkSession, params: DataFrame, options: dict, store_options: d
     skip_age = _int_option(options, "readiness_skip_wait_age_seconds", C.READINESS_SKIP_WAIT_AGE_SECONDS)
     landing_uri = values["landing_uri"].rstrip("/")
     prefix = options["relative_upload_file_path"].strip("/")
-    control = f"{landing_uri}/{options['relative_upload_control_path'].strip('/')}/{C.CHECKPOINT_FOLDER}"
+    control = _checkpoint_path(landing_uri, options)
     try:
         results, landed = _run(
             spark, values["source_uri"], expected, control, landing_uri, prefix, wait, skip_age, store_options, log
@@ -92,6 +92,16 @@ def land(spark: SparkSession, params: DataFrame, options: dict, store_options: d
     return LandingRun(paths, results, paths)
 
 
+def _checkpoint_path(landing_uri: str, options: dict) -> str:
+    return f"{landing_uri.rstrip('/')}/{options['relative_upload_control_path'].strip('/')}/{C.CHECKPOINT_FOLDER}"
+
+
+def landed_so_far(spark: SparkSession, landing_uri: str, options: dict) -> DataFrame:
+    """``path`` of every file landed by any run, also by runs that ended with errors."""
+    known = tables.read_checkpoint(spark, _checkpoint_path(landing_uri, options), C.LANDING_CHECKPOINT)
+    return known.select(F.concat(F.lit(landing_uri.rstrip("/") + "/"), F.col("s3_key")).alias("path"))
+
+
 def _run(
     spark: SparkSession,
     source_uri: str,

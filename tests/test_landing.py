@@ -193,6 +193,15 @@ def test_discover(spark, place):
     assert [r.path for r in discover(spark, upload, p, OPTIONS).collect()] == ["/n.csv"]
 
 
+def test_discover_with_a_checkpoint_of_two_layouts(spark, place):
+    at = str(place / "lake/control/leidos")
+    spark.createDataFrame([("/a",)], "path string").write.parquet(at)
+    spark.createDataFrame([("/z.zip::m", "/z.zip")], "path string, source_file string").write.mode("append").parquet(at)
+    p = spark.createDataFrame([(str(place / "lake"),)], "BUCKET_RAW string")
+    upload = spark.createDataFrame([("/a",), ("/b",), ("/z.zip",)], "path string")
+    assert [r.path for r in discover(spark, upload, p, OPTIONS).collect()] == ["/b"]
+
+
 def test_discover_contracts(spark, place):
     p = spark.createDataFrame([(str(place), " ")], "BUCKET_BLOB string, BUCKET_RAW string")
     failed = C.status_frame(spark, "fallido", "red")

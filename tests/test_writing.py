@@ -325,6 +325,13 @@ def test_flow_end_to_end_and_again(spark, tmp_path):
     (src / "v_20240103.csv").write_text("k,v\n4,d\n")
     run = run_flow(spark, land, disc, read, spec(spark, history(tmp_path / "out", "2024-02")), options)
     assert run.audit.first().cantidad_insertados == 1
+    # a run whose write fails leaves its files to be read by the next one, though nothing new lands then
+    (src / "v_20240104.csv").write_text("k,v\n5,e\n")
+    bad = spec(spark, history(tmp_path / "out", "2024-03", tipo_escritura="orc"))
+    assert run_flow(spark, land, disc, read, bad, options).status.first().estado == "FALLIDO"
+    run = run_flow(spark, land, disc, read, spec(spark, history(tmp_path / "out", "2024-03")), options)
+    assert run.audit.first().estado == "FINALIZADO"
+    assert rows(spark.read.parquet(f"{tmp_path}/out/t").where("periodo = '2024-03'"), "k") == [("5",)]
 
 
 def test_feed_takes_each_file_once(spark, tmp_path):
