@@ -26,7 +26,7 @@ def discover(
     """
     options = options or {}
     log = C.StepLog()
-    log.add("Inicio pys_descubrimiento_archivos")
+    log.add(C.LOG_START)
     rows = tables.parameter_rows(params)
     row = rows[0] if rows else None
     blob, raw = tables.parameter(row, "BUCKET_BLOB"), tables.parameter(row, "BUCKET_RAW")
@@ -40,21 +40,21 @@ def discover(
             return upload.select(*C.STATUS.fieldNames())
         return failed(C.MSG_STATUS_WITHOUT_PATHS)
     if "path" in columns:
-        log.add("Contrato de éxito de upload detectado (lista de paths)")
+        log.add(C.LOG_PATHS)
         manifest = discovery.manifest_from_paths(upload)
     else:
         prefix = options.get("relative_upload_file_path")
         if blob is None:
-            return failed(C.MSG_MISSING_PARAMETER_IN.format(name="BUCKET_BLOB", frame="tri_parametros_discovery"))
+            return failed(C.MSG_MISSING_PARAMETER_IN.format(name="BUCKET_BLOB", frame=C.FRAME_DISCOVERY))
         if C.is_missing(prefix):
             return failed(C.MSG_MISSING_PARAMETER.format(name="relative_upload_file_path"))
-        log.add("Descubrimiento ejecutado en modo standalone")
+        log.add(C.LOG_STANDALONE)
         files = list_files(spark, f"{root_uri(blob)}/{prefix.strip('/')}/{C.ZONE_ORIGINAL}/")
         manifest = discovery.manifest_from_paths(files)
 
     checkpoint_prefix = options.get("checkpoint_prefix")
     if raw is None:
-        return failed(C.MSG_MISSING_PARAMETER_IN.format(name="BUCKET_RAW", frame="tri_parametros_discovery"))
+        return failed(C.MSG_MISSING_PARAMETER_IN.format(name="BUCKET_RAW", frame=C.FRAME_DISCOVERY))
     if C.is_missing(checkpoint_prefix):
         return failed(C.MSG_MISSING_PARAMETER.format(name="checkpoint_prefix"))
     path = checkpoint_path(raw, checkpoint_prefix)

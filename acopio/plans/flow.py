@@ -33,6 +33,7 @@ def run_flow(
     write_specs: DataFrame,
     options: dict,
     store_options: dict | None = None,
+    stage_names: tuple[str, str, str] = C.STAGES,
 ) -> FlowRun:
     """One ingestion run. Files count as read only once every target has been written.
 
@@ -54,5 +55,5 @@ def run_flow(
         if failed.isEmpty():
             raw = tables.parameter(tables.parameter_rows(discovery_params)[0], "BUCKET_RAW")
             commit(read.files, checkpoint_path(raw, options["checkpoint_prefix"]))
-    stages = dict(zip(C.STAGES, (landed.outcome, pending, rows)))
-    return FlowRun(consolidate(spark, {**stages, "guardado": audit}), landed, pending, read, audit)
+    stages = dict(zip(stage_names, (landed.outcome, pending, rows)))
+    return FlowRun(consolidate(spark, {**stages, C.AUDIT_STAGE: audit}), landed, pending, read, audit)

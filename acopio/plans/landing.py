@@ -43,7 +43,7 @@ def land(spark: SparkSession, params: DataFrame, options: dict, store_options: d
     ``readiness_skip_wait_age_seconds``.
     """
     log = C.StepLog()
-    log.add("Inicio pys_subida_archivos")
+    log.add(C.LOG_START)
 
     def failed(message: str) -> LandingRun:
         return LandingRun(C.status_frame(spark, C.FALLIDO, message, log))
@@ -81,11 +81,11 @@ def land(spark: SparkSession, params: DataFrame, options: dict, store_options: d
             spark, values["source_uri"], expected, control, landing_uri, prefix, wait, skip_age, store_options, log
         )
     except Exception as exc:
-        log.add(f"Fallo general en subida: {C.error_text(exc)}")
+        log.add(C.LOG_LANDING_FAILED.format(detail=C.error_text(exc)))
         return failed(C.error_text(exc))
 
     state = landing.landing_state(landing.landing_tally(results)).first()
-    log.add(f"Resumen carga: procesados={state.ok}, errores={state.errors}, omitidos={state.omitted}")
+    log.add(C.LOG_LANDING_SUMMARY.format(ok=state.ok, errors=state.errors, omitted=state.omitted))
     paths = landing.landed_paths(results)
     if state.estado == C.FALLIDO:
         return LandingRun(C.status_frame(spark, C.FALLIDO, state.error, log), results, paths)
@@ -139,7 +139,7 @@ def _run(
         # once per run, in files of a sensible size
         known = landed.select(*names).withColumn("ingestion_ts", F.current_timestamp())
         known.hint("rebalance").write.mode("append").parquet(control)
-        log.add("Checkpoints persistidos")
+        log.add(C.LOG_CHECKPOINT)
 
     fields = C.LANDING_RESULT.fieldNames()
     skipped = decided.where(F.col("status").isNotNull()).select(

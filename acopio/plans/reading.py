@@ -48,14 +48,13 @@ def prepare(
 ) -> tuple[DataFrame, Options, str]:
     """Manifest, reader options and the folder zip members go to; raises ReadRefused with a status."""
     log = C.StepLog()
-    log.add("Inicio pys_lectura_normalizacion")
+    log.add(C.LOG_START)
 
     def refuse(message: str) -> ReadRefused:
         return ReadRefused(C.status_frame(spark, C.FALLIDO, message, log))
 
     if manifest is None:
-        raise refuse("No se encontró DataFrame de entrada para pys_read_normalize. "
-                     "Verifique la salida de discovery y los nombres de nodos de entrada.")
+        raise refuse(C.MSG_NO_INPUT)
     status = C.is_status(manifest.columns)
     if status and C.failed_status(manifest):
         raise ReadRefused(manifest.select(*C.STATUS.fieldNames()))
@@ -71,7 +70,7 @@ def prepare(
         if not status:
             raise refuse(C.MSG_NO_PATH_COLUMN)
         if bucket is None:
-            raise refuse(C.MSG_MISSING_PARAMETER_IN.format(name="BUCKET_BLOB", frame="tri_parametros_read"))
+            raise refuse(C.MSG_MISSING_PARAMETER_IN.format(name="BUCKET_BLOB", frame=C.FRAME_READ))
         if C.is_missing(prefix):
             raise refuse(C.MSG_MISSING_PARAMETER.format(name="relative_upload_file_path"))
         files = list_files(spark, f"{root_uri(bucket)}/{prefix.strip('/')}", recursive=False)

@@ -76,7 +76,7 @@ def write_tables(
 
 def _write_one(spark: SparkSession, df: DataFrame, spec: Row, options: dict, zone: str) -> dict:
     log = C.StepLog()
-    log.add("Inicio")
+    log.add(C.LOG_START)
 
     def given(name: str, default: object = None) -> object:
         return spec[name] if name in spec.__fields__ else default
@@ -101,10 +101,10 @@ def _write_one(spark: SparkSession, df: DataFrame, spec: Row, options: dict, zon
         if df.isEmpty():
             audit.update(estado=C.FALLIDO, log1=target, error1=C.MSG_NO_DATA)
         else:
-            log.add("Leído")
+            log.add(C.LOG_READ)
             audit.update(_write_rows(spark, df, spec, target, options, zone, log))
             audit["estado"] = C.FINALIZADO
-            log.add("Obtener Resumen")
+            log.add(C.LOG_SUMMARY)
     except Exception as exc:
         audit.update(estado=C.FALLIDO, error=C.error_text(exc), cantidad_leidos=_count_or_zero(df))
     audit["fecha_fin"] = _local_now(spark, zone)
@@ -151,7 +151,7 @@ def _write_rows(
         zone=zone,
         legacy=loose_flag(options.get("hash_heredado", False)),
     )
-    log.add("Aplicar campos extras")
+    log.add(C.LOG_EXTRAS)
 
     schema = tables.target_schema(spark, target, fmt)
     partitioned = kind == "history"
@@ -175,15 +175,15 @@ def _write_rows(
     )
     if schema is not None:
         rows, unseen = shaping.cast_to_target(rows, schema), shaping.cast_to_target(unseen, schema)
-        log.add("Aplicar Cast Destino")
+        log.add(C.LOG_CAST)
     else:
-        log.add("Aplicar Cast Destino omitido, destino aún no existe")
+        log.add(C.LOG_NO_CAST)
 
     job = Job(target, condition, stock_delta, str(spec["p_requiere_shist"]) == "1", one_period, options, log)
     WRITERS[(fmt, kind)](rows, unseen, job)
     facts = seen.get
     if facts["lost"]:
-        log.add(f"Valores nulos por Cast Destino: {facts['lost']}")
+        log.add(C.LOG_LOST.format(n=facts["lost"]))
 
     # the rows' own schema: a period is not guessed from folder names
     back = tables.read_table(spark, target, fmt, rows.schema if fmt == "parquet" else None)
@@ -193,7 +193,7 @@ def _write_rows(
         )
     arrived = back.agg(F.count(F.lit(1)).alias("n"), checksum(back).alias("c")).first()
     agree = arrived.n == facts["cantidad_insertados"] and arrived.c == facts["checksum_source"]
-    log.add("Conciliado" if agree else "Origen y destino difieren")
+    log.add(C.LOG_AGREE if agree else C.LOG_DIFFER)
     return {
         "cantidad_leidos": facts["cantidad_insertados"],
         "cantidad_insertados": facts["cantidad_insertados"],
@@ -242,7 +242,7 @@ def _parquet_history(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
         )
     else:
         sinks.write_history(rows, job.target)
-    job.log.add("Guardar PARQUET - HISTORY")
+    job.log.add(C.LOG_SAVED.format(form="PARQUET", table="HISTORY"))
 
 
 def _parquet_stock(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
@@ -254,16 +254,16 @@ def _parquet_stock(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
             rows = stack.enter_context(staged(rows, "new-stock"))
             _write_stock_delta(spark, rows, job.target, "parquet", job.log)
         sinks.write_stock(rows, job.target)
-        job.log.add("Guardar PARQUET - STOCK")
+        job.log.add(C.LOG_SAVED.format(form="PARQUET", table="STOCK"))
     if job.keep_history:
         current = tables.read_table(spark, job.target)
         sinks.write_history(current if job.one_period else sinks.by_period(current), f"{job.target}_shist")
-        job.log.add("Guardar PARQUET - STOCK_SHIST")
+        job.log.add(C.LOG_SAVED.format(form="PARQUET", table="STOCK_SHIST"))
 
 
 def _delta_history(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
     sinks.replace_where_or_range(unseen, job.condition, lambda c: sinks.delta_replace(rows, c, job.target))
-    job.log.add("Guardar DELTA - HISTORY")
+    job.log.add(C.LOG_SAVED.format(form="DELTA", table="HISTORY"))
 
 
 def _delta_stock(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
@@ -273,13 +273,13 @@ def _delta_stock(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
             rows = stack.enter_context(staged(rows, "new-stock"))
             _write_stock_delta(spark, rows, job.target, "delta", job.log)
         sinks.delta_stock(rows, job.target)
-        job.log.add("Guardar DELTA - STOCK")
+        job.log.add(C.LOG_SAVED.format(form="DELTA", table="STOCK"))
     if job.keep_history:
         current = tables.read_table(spark, job.target, "delta")
         sinks.replace_where_or_range(
             current, job.condition, lambda c: sinks.delta_replace(current, c, f"{job.target}_shist")
         )
-        job.log.add("Guardar DELTA - STOCK_SHIST")
+        job.log.add(C.LOG_SAVED.format(form="DELTA", table="STOCK_SHIST"))
 
 
 WRITERS = {
@@ -307,12 +307,12 @@ def _write_stock_delta(spark: SparkSession, new: DataFrame, target: str, fmt: st
     The first time there is nothing to compare with, and every row counts as inserted.
     """
     new_period = period_of(new) or ""
-    log.add(f"Periodo Actual Delta: {new_period}")
+    log.add(C.LOG_NEW_PERIOD.format(period=new_period))
     changes_at = f"{target}_sdelta"
     previous = ""
     if tables.has_files(spark, changes_at):
         previous = summary.last_period(spark.read.schema(f"{sinks.PERIOD} string").parquet(changes_at)).first()[0]
-    log.add(f"Periodo Ultimo Delta: {previous}")
+    log.add(C.LOG_LAST_DELTA.format(period=previous))
 
     old, old_period = None, None
     if tables.target_schema(spark, target, fmt) is not None:
@@ -321,7 +321,7 @@ def _write_stock_delta(spark: SparkSession, new: DataFrame, target: str, fmt: st
     if previous == "" or old_period is None:
         first = snapshot.first_delta(new).withColumn(sinks.PERIOD, F.lit(new_period))
         sinks.write_sdelta(first, target, append=False)
-        log.add(f"Escritura primera vez, {changes_at}")
+        log.add(C.LOG_FIRST_DELTA.format(path=changes_at))
         return
     delta = snapshot.snapshot_delta(new, old, new_period=new_period, old_period=old_period)
     # few changes come from many tasks: gathered into files of a sensible size, counted on the way.
@@ -330,5 +330,5 @@ def _write_stock_delta(spark: SparkSession, new: DataFrame, target: str, fmt: st
     changes = delta.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("n"))
     append = previous == new_period
     sinks.write_sdelta(changes, target, append=append)
-    log.add(f"Conteo delta {seen.get['n']}")
-    log.add(f"Escritura delta modo {'append' if append else 'overwrite'}")
+    log.add(C.LOG_DELTA_COUNT.format(n=seen.get["n"]))
+    log.add(C.LOG_DELTA_MODE.format(mode="append" if append else "overwrite"))

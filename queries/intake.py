@@ -276,8 +276,7 @@ def files_per_dataset(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _STAGE_OF = "CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END"
-_STAGE_NAMES = ("CASE stage_order WHEN 0 THEN 'pys_subida_archivos' WHEN 1 THEN 'pys_descubrimiento_archivos' "
-                "ELSE 'pys_lectura_normalizacion' END")
+_STAGE_NAMES = "CASE stage_order WHEN 0 THEN 'subida' WHEN 1 THEN 'descubrimiento' ELSE 'lectura' END"
 
 
 @query(

@@ -292,7 +292,8 @@ def test_delta_applied_to_old_gives_new(spark):
 def test_consolidate(spark):
     bad = lambda e: C.status_frame(spark, "fallido", e)
     first, second, third = C.STAGES
-    out = consolidate(spark, {third: bad(""), first: bad("uno"), second: spark.range(1)}).first()
+    out = consolidate(spark, {first: bad("uno"), second: spark.range(1), third: bad("")}).first()
+    assert out.log_control == "Errores consolidados: 2"
     assert out.estado == "FALLIDO" and out.error == f"{first}: uno | {third}: Error no especificado"
     assert consolidate(spark, {first: C.status_frame(spark, "FINALIZADO"), second: None}).first().estado == "FINALIZADO"
     assert consolidate(spark, {first: spark.range(1)}).first().estado == "FINALIZADO"
