@@ -41,12 +41,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """``stage`` for work that ends here: the written table is removed afterwards."""
+    """``stage`` for work that ends here: the written table is removed when it succeeded.
+
+    After a failure it stays, so that rows whose target was being replaced are not lost.
+    """
     spark = df.sparkSession
     target = scratch_path(spark, label)
-    try:
-        df.write.parquet(target)
-        yield spark.read.schema(df.schema).parquet(target)
-    finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(target)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    df.write.parquet(target)
+    yield spark.read.schema(df.schema).parquet(target)
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

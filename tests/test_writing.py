@@ -198,6 +198,22 @@ def test_empty_input_passthrough_and_nameless(spark, tmp_path):
         write_tables(spark, data(spark, ("1", "a")), spec(spark, history(tmp_path, "p", p_id_ingesta=" ")))
 
 
+def test_staged_rows_go_on_success_and_stay_on_failure(spark):
+    from acopio.session import staged
+    from acopio.sources.tables import path_exists
+
+    folder = lambda df: df.inputFiles()[0].rsplit("/", 1)[0]
+    with staged(data(spark, ("1", "a")), "kept") as df:
+        gone = folder(df)
+        assert df.count() == 1
+    assert not path_exists(spark, gone)
+    with pytest.raises(RuntimeError):
+        with staged(data(spark, ("1", "a")), "kept") as df:
+            stays = folder(df)
+            raise RuntimeError
+    assert path_exists(spark, stays)
+
+
 def test_catalog_lookup(spark, tmp_path):
     from acopio.sources.tables import table_exists
 
