@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acopio import contracts as C
-from acopio.functions import base_name, batch_id, dataset_name, local_time, md5_word, row_md5, wrapping_sum
+from acopio.functions import batch_id, dataset_name, local_time, md5_word, row_md5, wrapping_sum
 from acopio.operators import shaping, snapshot, summary
 
 from .inputs import (
-    ARCHIVED_BEFORE,
     LINE_MD5_SQL,
     LINES_SQL,
     NEW_ORDERS_SQL,
