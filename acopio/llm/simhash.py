@@ -78,9 +78,13 @@ def ball(bits: list[int], radius: int) -> list[int]:
     return [_signed(sum(1 << b for b in some)) for k in range(radius + 1) for some in combinations(bits, k)]
 
 
+def _changed(fp: Column, masks: list[int]) -> Column:
+    return F.transform(F.lit(masks), lambda m: fp.bitwiseXOR(m))
+
+
 def _variants(fp: Column, radius: int) -> Column:
     if radius % 2 == 0:
-        return F.transform(F.lit(ball(list(range(BITS)), radius // 2)), lambda m: fp.bitwiseXOR(m))
+        return _changed(fp, ball(list(range(BITS)), radius // 2))
     parts = []
     for block in np.array_split(np.arange(BITS), 3):
         out = {int(b) for b in block}
@@ -88,7 +92,8 @@ def _variants(fp: Column, radius: int) -> Column:
         kept = fp.bitwiseAND(F.lit(_signed(sum(1 << b for b in rest))))
         # the block's place holds a mark, so that variants of different blocks hardly ever meet
         mark = int(block[0]) + 1
-        parts.append(F.transform(F.lit([_signed((m & (2**BITS - 1)) | (1 << mark)) for m in ball(rest, radius // 2)]), lambda m, k=kept: k.bitwiseXOR(m)))
+        masks = [_signed((m & (2**BITS - 1)) | (1 << mark)) for m in ball(rest, radius // 2)]
+        parts.append(_changed(kept, masks))
     return F.concat(*parts)
 
 
@@ -192,7 +197,7 @@ def links(fps: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame
     inner, outer = radius // 2, radius - radius // 2
     crowds = crowds.repartition(tasks, "fp")
     balls = [
-        crowds.select("fp", F.lit(far).alias("outer"), F.explode(F.transform(F.lit(ball(list(range(BITS)), r)), lambda m: F.col("fp").bitwiseXOR(m))).alias("key"))
+        crowds.select("fp", F.lit(far).alias("outer"), F.explode(_changed(F.col("fp"), ball(list(range(BITS)), r))).alias("key"))
         for far, r in ((False, inner), (True, outer))
     ]
     tied = (
