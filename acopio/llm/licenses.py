@@ -100,7 +100,8 @@ def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = known or SENTENCES
     pairs = [(s, k) for k, own in known.items() for s in own]
     table = docs.sparkSession.createDataFrame(pairs, "known string, sentence_id string")
-    cut = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.posexplode(sentences(F.col(text_col))).alias("at", "raw"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
+    cut = rows.select("doc_id", "row", F.posexplode(sentences(F.col("text"))).alias("at", "raw"))
     # only sentences of a length that some known one has are normalised; the table is a constant of this module
     longest = max(len(s) for s, _ in pairs)
     fit = cut.where(F.length("raw").between(min(len(s) for s, _ in pairs), 3 * longest + 100))
