@@ -27,8 +27,7 @@ def discover(
     options = options or {}
     log = C.StepLog()
     log.add(C.LOG_START)
-    rows = tables.parameter_rows(params)
-    row = rows[0] if rows else None
+    row = tables.first_row(params)
     blob, raw = tables.parameter(row, "BUCKET_BLOB"), tables.parameter(row, "BUCKET_RAW")
 
     def failed(message: str) -> DataFrame:

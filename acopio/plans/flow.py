@@ -43,7 +43,7 @@ def run_flow(
     landed = land(spark, landing_params, options, store_options)
     pending = discover(spark, landed.outcome, discovery_params, options)
     if landed.results is not None:
-        uri = tables.parameter(tables.parameter_rows(landing_params)[0], "landing_uri")
+        uri = tables.parameter(tables.first_row(landing_params), "landing_uri")
         unread = discover(spark, landed_so_far(spark, uri, options), discovery_params, options)
         if not unread.isEmpty():
             pending = unread
@@ -53,7 +53,7 @@ def run_flow(
     if isinstance(read, ReadResult):
         failed = audit.where(audit.estado != C.FINALIZADO)
         if failed.isEmpty():
-            raw = tables.parameter(tables.parameter_rows(discovery_params)[0], "BUCKET_RAW")
+            raw = tables.parameter(tables.first_row(discovery_params), "BUCKET_RAW")
             commit(read.files, checkpoint_path(raw, options["checkpoint_prefix"]))
     stages = dict(zip(stage_names, (landed.outcome, pending, rows)))
     return FlowRun(consolidate(spark, {**stages, C.AUDIT_STAGE: audit}), landed, pending, read, audit)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -58,8 +59,7 @@ def prepare(
     status = C.is_status(manifest.columns)
     if status and C.failed_status(manifest):
         raise ReadRefused(manifest.select(*C.STATUS.fieldNames()))
-    rows = tables.parameter_rows(params)
-    row = rows[0] if rows else None
+    row = tables.first_row(params)
     raw = row["READER_OPTIONS"] if row is not None and "READER_OPTIONS" in row.__fields__ else None
     try:
         reader_options = parse_reader_options(raw)
@@ -128,3 +128,16 @@ def read_waves(
         yield read_files(
             part, reader_options, run_id=run, unzip_to=unzip_to, store_options=store_options
         )
+
+
+def read_backlog(
+    spark: SparkSession, manifest: DataFrame, params: DataFrame | None = None, options: dict | None = None, **rounds
+) -> DataFrame:
+    """All rows and errors of a backlog as one frame, read in rounds (see ``read_waves``).
+
+    Each round is written to the shared folder and the written tables are put together, so
+    that the table writer sees every row of a period at once: it replaces the periods it
+    gets, and rounds written one by one would replace each other.
+    """
+    parts = [stage(result.output(), "wave") for result in read_waves(spark, manifest, params, options, **rounds)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

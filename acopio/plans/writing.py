@@ -60,7 +60,7 @@ def write_tables(
         )
         return spark.createDataFrame([Row(**passed)], C.AUDIT)
 
-    rows = tables.parameter_rows(specs)
+    rows = list(tables.parameter_rows(specs))
     nameless = [r for r in rows if C.is_missing(tables.parameter(r, "p_id_ingesta"))]
     if nameless:
         raise ValueError(f"{len(nameless)} write parameter row(s) without p_id_ingesta")
@@ -171,7 +171,7 @@ def _write_rows(
         *summary.write_summary(control),
         checksum(rows).alias("checksum_source"),
         F.coalesce(F.sum(shaping.lost_values(rows, schema)), F.lit(0)).alias("lost"),
-        *_period_ends(rows),
+        *_periods(rows),
     )
     if schema is not None:
         rows, unseen = shaping.cast_to_target(rows, schema), shaping.cast_to_target(unseen, schema)
@@ -188,9 +188,10 @@ def _write_rows(
     # the rows' own schema: a period is not guessed from folder names
     back = tables.read_table(spark, target, fmt, rows.schema if fmt == "parquet" else None)
     if partitioned:
-        back = back.where(condition) if condition else back.where(
-            F.col(sinks.PERIOD).cast("string").between(facts["first_period"], facts["last_period"])
-        )
+        # exactly what was written: an untouched period in between is none of this write
+        period = quoted(sinks.PERIOD).cast("string")
+        written = period.isin(*facts["periods"]) if facts["periods"] else F.lit(False)
+        back = back.where(written | period.isNull() if facts["without_period"] else written)
     arrived = back.agg(F.count(F.lit(1)).alias("n"), checksum(back).alias("c")).first()
     agree = arrived.n == facts["cantidad_insertados"] and arrived.c == facts["checksum_source"]
     log.add(C.LOG_AGREE if agree else C.LOG_DIFFER)
@@ -213,10 +214,11 @@ def _one_period(extras: str, columns: list[str]) -> bool:
     return False
 
 
-def _period_ends(rows: DataFrame) -> list:
+def _periods(rows: DataFrame) -> list:
+    """The periods of the rows, which are as few as the folders they go to, and whether some have none."""
     has = any(c.lower() == sinks.PERIOD for c in rows.columns)
     period = quoted(sinks.PERIOD).cast("string") if has else F.lit(None).cast("string")
-    return [F.min(period).alias("first_period"), F.max(period).alias("last_period")]
+    return [F.collect_set(period).alias("periods"), F.coalesce(F.max(period.isNull()), F.lit(False)).alias("without_period")]
 
 
 # --- one function per (format, kind) -------------------------------------------
@@ -237,9 +239,10 @@ class Job:
 
 def _parquet_history(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
     if job.condition and loose_flag(job.options.get("reemplazo_parquet", False)):
-        sinks.replace_where_or_range(
-            unseen, job.condition, lambda c: sinks.replace_where(rows, job.target, c, checked=unseen)
+        used = sinks.replace_where_or_range(
+            unseen.select(quoted(sinks.PERIOD)), job.condition, lambda c: sinks.replace_where(rows, job.target, c, checked=unseen)
         )
+        job.log.add(C.LOG_RANGE.format(range=used))
     else:
         sinks.write_history(rows, job.target)
     job.log.add(C.LOG_SAVED.format(form="PARQUET", table="HISTORY"))
@@ -262,7 +265,8 @@ def _parquet_stock(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
 
 
 def _delta_history(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
-    sinks.replace_where_or_range(unseen, job.condition, lambda c: sinks.delta_replace(rows, c, job.target))
+    used = sinks.replace_where_or_range(unseen, job.condition, lambda c: sinks.delta_replace(rows, c, job.target))
+    job.log.add(C.LOG_RANGE.format(range=used))
     job.log.add(C.LOG_SAVED.format(form="DELTA", table="HISTORY"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, Row, SparkSession, types as T
 
 from .. import contracts as C
@@ -84,14 +86,14 @@ def read_checkpoint(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).parquet(path)
 
 
-def parameter_rows(params: DataFrame | None, limit: int = 10_000) -> list[Row]:
-    """Rows of a control table. It is hand-kept and small; a big one is refused, not cut."""
-    if params is None:
-        return []
-    rows = params.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"parameter frame has more than {limit} rows; a data frame was passed")
-    return rows
+def parameter_rows(params: DataFrame | None) -> Iterator[Row]:
+    """Rows of a control table, one after the other, however many there are."""
+    return iter(()) if params is None else params.toLocalIterator()
+
+
+def first_row(params: DataFrame | None) -> Row | None:
+    """The row of a control table that has one; None without rows."""
+    return None if params is None else params.first()
 
 
 def parameter(row: Row | None, name: str, default: object = None) -> object:
@@ -104,6 +106,7 @@ __all__ = [
     "child_folders",
     "delete_path",
     "delta_available",
+    "first_row",
     "has_files",
     "is_delta",
     "parameter",

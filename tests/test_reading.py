@@ -8,7 +8,7 @@ import zipfile
 import pytest
 
 from acopio.operators.discovery import manifest_from_paths
-from acopio.plans.reading import read_normalise, read_waves
+from acopio.plans.reading import read_backlog, read_normalise, read_waves
 from acopio.sources.listing import list_files, walk_tree
 from acopio.sources.readers import read_files
 
@@ -269,6 +269,8 @@ def test_waves_cover_every_file_once(spark, tmp_path):
     for wave in read_waves(spark, manifest(spark, tmp_path), params, {}, files_per_wave=4):
         seen += [] if wave.rows is None else [x.a for x in wave.rows.collect()]
     assert sorted(seen) == [str(i) for i in range(9)]
+    together = read_backlog(spark, manifest(spark, tmp_path), params, {}, files_per_wave=4)
+    assert sorted(x.a for x in together.collect()) == [str(i) for i in range(9)]
 
 
 @pytest.mark.parametrize(

@@ -12,6 +12,7 @@ from acopio.operators.snapshot import apply_delta, snapshot_delta
 from acopio.plans.flow import run_flow
 from acopio.plans.writing import write_tables
 from acopio.sinks import tables as sinks
+from acopio.sources import tables
 from acopio.streaming.feed import append_batch, drain, file_stream, table_batch
 
 SPEC = (
@@ -100,6 +101,33 @@ def test_replace_where_removes_matching_periods_only(spark, tmp_path):
     assert rows(spark.read.schema("v int, periodo string").parquet(t), "v") == [(1,), (4,), (5,), (9,)]
 
 
+def test_a_failed_replacement_widens_nothing(spark):
+    asked = []
+
+    def lost(condition):
+        asked.append(condition)
+        raise RuntimeError("executor lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        sinks.replace_where_or_range(spark.createDataFrame([("a",)], "periodo string"), "periodo = 'a'", lost)
+    assert asked == ["periodo = 'a'"]
+
+
+def test_parameter_rows_have_no_limit(spark):
+    assert sum(1 for _ in tables.parameter_rows(spark.range(10_001).toDF("p_id_ingesta"))) == 10_001
+    assert list(tables.parameter_rows(None)) == [] and tables.first_row(None) is None
+
+
+def test_read_back_leaves_untouched_periods_out(spark, tmp_path):
+    df = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", "c")], "k string, p string")
+    s = history(tmp_path, "x")
+    s["p_expresion_campos_extras"] = "p AS periodo"
+    write_tables(spark, df, spec(spark, s))
+    again = write_tables(spark, df.where("p <> 'b'"), spec(spark, s)).first()
+    assert again.estado == "FINALIZADO" and "Conciliado" in again.log_detail + again.log_control
+    assert again.checksum_source == again.checksum_destination
+
+
 def test_parquet_history_by_condition(spark, tmp_path):
     write_tables(spark, data(spark, ("1", "a")), spec(spark, history(tmp_path, "2024-01")))
     s = history(tmp_path, "2024-02", p_condicion_reproceso="periodo >= '2024-01'")
