@@ -272,12 +272,19 @@ def _decorate(rows: DataFrame, own: list[str], path: Column, source: Column, run
 # --- json: the types of a file come from all its rows --------------------------
 
 
+#: Layout of JSON files that only Spark's own reader can judge.
+_SPARK_JUDGED = "spark"
+
+
 def _json_layouts(catalogue: DataFrame, options: Options, files_per_scan: int) -> DataFrame:
-    """JSON files get their inferred types as layout.
+    """JSON files get the types of their disputed keys as layout.
 
     A column that is whole in one file and fractional in another is read as
     whole text from the first: such files must not share a scan, which would
-    infer one type for both. Not needed where the reader keeps values as text.
+    infer one type for both. Files that merely lack some keys may share one. Not needed
+    where the reader keeps values as text. A file of which the look can parse nothing (other
+    encodings, lenient syntax, very large documents) is left to Spark's own reader with the
+    caller's options; it is an error only if that finds no valid row either.
     """
     opts = options.get("json") or {}
     if "json" not in options:
@@ -289,28 +296,55 @@ def _json_layouts(catalogue: DataFrame, options: Options, files_per_scan: int) -
     parts = []
     for paths in _paths(todo, files_per_scan):
         text = spark.read.option("wholetext", str(flag(opts, "multiLine")).lower()).text([_literal(p) for p in paths])
-        value = F.try_parse_json(F.col("value"))
+        looked = text.where(F.trim("value") != "").select(metadata_path().alias("file_key"), F.try_parse_json(F.col("value")).alias("v"))
+        each = looked.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer()))
         parts.append(
-            text.select(metadata_path().alias("file_key"), F.col("value"), value.alias("v"))
-            .where(F.trim("value") != "")
-            .groupBy("file_key")
-            .agg(F.schema_of_variant_agg("v").alias("types"), F.count_if(F.col("v").isNotNull()).alias("parsed"))
+            each.groupBy("file_key", "key").agg(
+                F.schema_of_variant_agg("value").alias("type"), F.count_if(F.col("v").isNotNull()).alias("parsed")
+            )
         )
-    # digits of a decimal do not matter, all fractions are read as double
-    types = F.regexp_replace("types", r"DECIMAL\(\d+,\d+\)", "DOUBLE")
-    found = shaping.union_all(parts).select("file_key", types.alias("types"), "parsed")
+    # digits of a decimal do not matter, all fractions are read as double; a null has no type
+    plain = F.regexp_replace("type", r"DECIMAL\(\d+,\d+\)", "DOUBLE")
+    keys = stage(shaping.union_all(parts).select("file_key", "key", F.nullif(plain, F.lit("VOID")).alias("type"), "parsed"), "json-keys")
+    disputed = keys.groupBy("key").agg(F.min("type").alias("low"), F.max("type").alias("high")).where("low <> high").select(F.coalesce("key", F.lit("")).alias("k"), F.lit(True).alias("split"))
+    marked = keys.withColumn("k", F.coalesce("key", F.lit(""))).join(disputed, "k", "left")
+    told = F.array_sort(F.collect_list(F.when(F.col("split") & F.col("type").isNotNull(), F.concat_ws(":", "k", "type"))))
+    found = marked.groupBy("file_key").agg(F.to_json(told).alias("types"), F.sum("parsed").alias("parsed"))
     is_json = (F.col("ext") == "json") & F.col("error").isNull() & ~F.col("is_dir")
-    nothing = F.when(is_json & (F.col("parsed") == 0), F.lit("no line of the file is valid JSON"))
-    layout = F.when(is_json, F.coalesce("types", F.lit(EMPTY))).otherwise(F.col("layout"))
+    types = F.when(F.col("parsed") == 0, F.lit(_SPARK_JUDGED)).otherwise(F.coalesce("types", F.lit(EMPTY)))
     joined = catalogue.join(found, "file_key", "left")
-    return stage(
-        joined.select(
-            *[c for c in catalogue.columns if c not in ("layout", "error")],
-            layout.alias("layout"),
-            F.coalesce("error", nothing).alias("error"),
-        ),
+    seen = stage(
+        joined.select(*[c for c in catalogue.columns if c != "layout"], F.when(is_json, types).otherwise(F.col("layout")).alias("layout")),
         "read-catalogue",
     )
+    invalid = _invalid_json(seen.where(is_json & (F.col("layout") == _SPARK_JUDGED)), opts, files_per_scan)
+    if invalid is None:
+        return seen
+    nothing = F.when(F.col("invalid"), F.lit("no row of the file is valid JSON"))
+    error = F.coalesce("error", nothing).alias("error")
+    return stage(seen.join(invalid, "file_key", "left").select(*[error if c == "error" else F.col(c) for c in seen.columns]), "read-catalogue")
+
+
+def _invalid_json(files: DataFrame, opts: dict[str, str], files_per_scan: int) -> DataFrame | None:
+    """``file_key, invalid`` of the files in which Spark's reader finds rows, but no valid one; None if there are none."""
+    spark = files.sparkSession
+    corrupt = opts.get("columnNameOfCorruptRecord") or spark.conf.get("spark.sql.columnNameOfCorruptRecord")
+    parts = []
+    for paths in _paths(files, files_per_scan):
+        for scan in _scan(spark, "json", opts, paths, []):
+            if corrupt not in scan.columns:
+                continue  # every row of these files is valid
+            own = [c for c in scan.columns if c != corrupt]
+            if own:
+                # Spark refuses to look at nothing but the corrupt column
+                bad, beside = F.col(f"`{corrupt}`").isNotNull(), F.col("`" + own[0].replace("`", "``") + "`")
+                by_file = scan.select(metadata_path().alias("file_key"), bad.alias("bad"), beside.alias("beside")).groupBy("file_key")
+                judged = by_file.agg(F.min("bad").alias("invalid"), F.count("beside").alias("beside")).where(F.col("invalid") & (F.col("beside") >= 0))
+                parts.append(judged.select("file_key", "invalid"))
+            else:
+                names = spark.createDataFrame([(p,) for p in paths], "read_path string")
+                parts.append(files.join(names, "read_path", "left_semi").select("file_key", F.lit(True).alias("invalid")))
+    return shaping.union_all(parts)
 
 
 # --- csv with inferSchema: likewise --------------------------------------------

@@ -136,6 +136,28 @@ def test_json_keeps_each_files_types(spark, tmp_path):
     assert rows(r.rows, "n")[:2] == [("1",), ("1.5",)]
 
 
+def test_json_that_only_sparks_reader_takes(spark, tmp_path):
+    put(tmp_path, "a.json", "{'n':1}\n{'n':2,'s':'x'}\n")
+    put(tmp_path, "b.json", "nothing\nat all\n")
+    put(tmp_path, "c.json", '{"n":3}\n{"n":4,"t":null}\n')
+    r = read(spark, tmp_path, {"json": {}})
+    assert rows(r.rows, "n", "s") == [("1", None), ("2", "x"), ("3", None), ("4", None)]
+    assert set(errors(r)) == {"b.json"}
+    wide = tmp_path / "wide"
+    wide.mkdir()
+    (wide / "u.json").write_bytes('{"n":5}\n{"n":6}\n'.encode("utf-16-le"))
+    r = read(spark, wide, {"json": {"encoding": "UTF-16LE", "lineSep": "\n"}})
+    assert rows(r.rows, "n") == [("5",), ("6",)] and not errors(r)
+
+
+def test_json_files_that_lack_keys_share_a_scan(spark, tmp_path):
+    for i in range(6):
+        put(tmp_path, f"f_{i}.json", json.dumps({"n": i, f"k{i}": "v"}))
+    r = read(spark, tmp_path, {"json": {}})
+    assert rows(r.rows, "n", "k3") == sorted([(str(i), "v" if i == 3 else None) for i in range(6)], key=str)
+    assert r.rows._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+
+
 def test_json_multiline(spark, tmp_path):
     put(tmp_path, "a.json", json.dumps([{"a": 1}, {"a": 2}], indent=1))
     assert rows(read(spark, tmp_path, {"json": {"multiLine": "true"}}).rows, "a") == [("1",), ("2",)]
