@@ -69,5 +69,5 @@ def consolidate(spark: SparkSession, stages: Mapping[str, DataFrame | None] | Da
         F.col("errors") > 0, F.concat(F.lit(before), F.col("errors").cast("string"), F.lit(after))
     ).otherwise(F.lit(C.LOG_NO_ERRORS))
     return consolidate_runs(rows, [], count="errors").select(
-        "estado", "error", last.alias("log_control"), F.lit(str(log)).alias("log_detail")
+        "estado", "error", last.alias("log_control"), F.lit(log.report()["log_detail"]).alias("log_detail")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import datetime
@@ -108,8 +109,9 @@ def _write_one(spark: SparkSession, df: DataFrame, spec: Row, options: dict, zon
     except Exception as exc:
         audit.update(estado=C.FALLIDO, error=C.error_text(exc), cantidad_leidos=_count_or_zero(df))
     audit["fecha_fin"] = _local_now(spark, zone)
-    audit["log_control"] = log.last
-    audit["log_detail"] = f"{log} Ubicacion: {target}" if audit["estado"] == C.FINALIZADO else str(log)
+    audit.update(log.report())
+    if audit["estado"] == C.FINALIZADO:
+        audit["log_detail"] += f" Ubicacion: {target}"
     return audit
 
 
@@ -209,7 +211,7 @@ def _write_rows(
 def _one_period(extras: str, columns: list[str]) -> bool:
     """True when the period of the rows is a constant of the extra expressions."""
     for expression in shaping.extra_expressions(extras):
-        if expression.lower().rstrip("`").endswith(sinks.PERIOD):
+        if re.search(rf"(?<!\w){sinks.PERIOD}`?\s*$", expression.lower()):
             return sinks.is_constant(expression, columns)
     return False
 

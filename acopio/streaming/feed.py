@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import contracts as C
 from ..functions import batch_id, dataset_name, metadata_path
 from ..operators import shaping
 from ..plans.writing import write_tables
 from ..sinks.tables import write_history
+from ..sources import tables
 
 
 def file_stream(
@@ -72,19 +74,32 @@ def append_batch(target: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def table_batch(specs: DataFrame, options: dict | None, audit_path: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer that sends each batch through the table writer and keeps its audit rows.
+def drain_to_tables(stream: DataFrame, checkpoint: str, held: str, specs: DataFrame, options: dict | None = None) -> DataFrame:
+    """Take everything that has arrived and write it once to every target; returns the audit rows.
 
-    Sound for history targets whose period identifies the batch (``lote_numero``
-    may be used in their extra expressions): a repeated batch replaces its own period.
+    The table writer replaces the periods it gets, so micro-batches written one by one would
+    replace each other. They are kept in ``held``, a table by batch, until all targets are
+    written. Batches of a run that died or failed stay there and go with the next one. The
+    number of the last batch written is marked before its rows are removed, so a run that
+    dies in between neither loses nor repeats any. ``lote_numero`` is the number of a row's
+    batch and may be used in extra expressions. Without new rows there are no audit rows.
     """
-
-    def write(batch: DataFrame, number: int) -> None:
-        numbered = batch.withColumn("lote_numero", F.lit(number))
-        audit = write_tables(batch.sparkSession, numbered, specs, options).withColumn("lote", F.lit(number))
-        write_history(audit, audit_path, "lote")
-        failed = audit.where("estado <> 'FINALIZADO'").select("nombre_tabla", "error", "error1").collect()
-        if failed:
-            raise RuntimeError(f"batch {number} failed: {[tuple(r) for r in failed]}")
-
-    return write
+    spark = stream.sparkSession
+    drain(stream, checkpoint, append_batch(held))
+    folders = tables.child_folders(spark, held) if tables.path_exists(spark, held) else []
+    batches = {int(f.split("=")[1]): f for f in folders if f.startswith("lote=")}
+    written = max([int(f.rsplit("-", 1)[1]) for f in folders if f.startswith("_written-")], default=-1)
+    waiting = [n for n in batches if n > written]
+    audit = spark.createDataFrame([], C.AUDIT)
+    if waiting:
+        layout = T.StructType([*stream.schema, T.StructField("lote", T.IntegerType())])
+        rows = tables.read_table(spark, held, schema=layout).where(F.col("lote") > written)
+        audit = write_tables(spark, rows.withColumnRenamed("lote", "lote_numero"), specs, options)
+        if not audit.where(F.col("estado") != C.FINALIZADO).isEmpty():
+            return audit
+        written = max(waiting)
+        tables.make_folder(spark, f"{held}/_written-{written}")
+    for number, folder in batches.items():
+        if number <= written:
+            tables.delete_path(spark, f"{held}/{folder}")
+    return audit

@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acopio import contracts as C
 from acopio.operators import discovery, shaping
+from acopio.plans.reading import read_backlog
 from acopio.plans.writing import write_tables
 from acopio.session import scratch_path
 from acopio.sinks import tables as sinks
 from acopio.sources import tables as sources
 from acopio.sources.listing import as_listing, list_files
 from acopio.sources.readers import read_files
-from acopio.streaming.feed import append_batch, drain, file_stream
+from acopio.streaming.feed import append_batch, drain, drain_to_tables, file_stream
 
 from .inputs import (
+    CHANGES_SQL,
     NEW_ORDERS_SQL,
     OLD_ORDERS_SQL,
-    ORDER_MD5_SQL,
     new_orders,
     old_orders,
     table,
@@ -191,21 +192,22 @@ def _two_stock_loads(spark: SparkSession, sf: str) -> str:
     return f"{root}/orders"
 
 
+_CHANGE_COLUMNS = "SDELTA_ID, o_custkey, o_orderstatus, cast(o_totalprice AS double) AS o_totalprice, o_orderdate, o_orderpriority"
+
+
 @query(
-    f"""SELECT SDELTA_ID, cast(o_totalprice AS double) AS o_totalprice, 'I' AS sdelta_operacion, '' AS compared, '2024-01' AS periodo
-    FROM ({OLD_ORDERS_SQL}) UNION ALL
-    SELECT coalesce(n.SDELTA_ID, o.SDELTA_ID), cast(coalesce(n.o_totalprice, o.o_totalprice) AS double),
-    CASE WHEN o.SDELTA_ID IS NULL THEN 'I' WHEN n.SDELTA_ID IS NULL THEN 'D' ELSE 'U' END, '2024-01', '2024-02'
-    FROM (SELECT *, {ORDER_MD5_SQL} AS m FROM ({NEW_ORDERS_SQL})) n
-    FULL OUTER JOIN (SELECT *, {ORDER_MD5_SQL} AS m FROM ({OLD_ORDERS_SQL})) o ON n.SDELTA_ID = o.SDELTA_ID
-    WHERE coalesce(n.m, '-') <> coalesce(o.m, '-')"""
+    f"""SELECT {_CHANGE_COLUMNS}, 'I' AS sdelta_operacion, '' AS compared, '2024-01' AS periodo FROM ({OLD_ORDERS_SQL})
+    UNION ALL SELECT {_CHANGE_COLUMNS}, sdelta_operacion, '2024-01', '2024-02' FROM ({CHANGES_SQL})"""
 )
 def stock_delta_table(spark: SparkSession, sf: str) -> DataFrame:
     """Change rows a stock target keeps over two loads."""
     return (
         sources.read_table(spark, f"{_two_stock_loads(spark, sf)}_sdelta")
         .withColumnRenamed("sdelta_periodo_compararacion", "compared")
-        .select("SDELTA_ID", "o_totalprice", "sdelta_operacion", "compared", F.col("periodo").cast("string").alias("periodo"))
+        .select(
+            "SDELTA_ID", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+            "sdelta_operacion", "compared", F.col("periodo").cast("string").alias("periodo"),
+        )
     )
 
 
@@ -257,3 +259,39 @@ def file_feed(spark: SparkSession, sf: str) -> DataFrame:
     take()
     take()
     return sources.read_table(spark, target).select(*text.columns)
+
+
+_BY_YEAR = "concat('y', substr(o_orderdate, 1, 4)) AS periodo"
+_ORDERS_BY_YEAR = """SELECT cast(o_orderkey AS varchar) AS o_orderkey, cast(o_custkey AS varchar) AS o_custkey, o_orderstatus,
+    cast(o_totalprice AS varchar) AS o_totalprice, cast(o_orderdate AS varchar) AS o_orderdate, o_orderpriority,
+    'y' || year(o_orderdate) AS periodo FROM orders"""
+
+
+def _orders_in_files(spark: SparkSession, sf: str, label: str, n: int = 8) -> tuple[str, DataFrame]:
+    """All orders as text, dealt over ``n`` csv files that share their years."""
+    folder = scratch_path(spark, label)
+    text = shaping.strings(table(spark, sf, "orders"))
+    text.repartition(n).write.option("header", "true").csv(folder)
+    return folder, text
+
+
+@query(_ORDERS_BY_YEAR)
+def history_in_waves(spark: SparkSession, sf: str) -> DataFrame:
+    """A backlog read in rounds of about three files and written once: no round replaces another's years."""
+    folder, text = _orders_in_files(spark, sf, "waves-in")
+    root = scratch_path(spark, "waves-out")
+    manifest = discovery.manifest_from_paths(list_files(spark, folder).select("path"))
+    params = spark.createDataFrame([('{"csv": {"header": "true"}}',)], "READER_OPTIONS string")
+    rows = read_backlog(spark, manifest, params, files_per_wave=3)
+    _finished(write_tables(spark, rows, _spec(spark, root, "history", _BY_YEAR)))
+    return sources.read_table(spark, f"{root}/orders").select(*text.columns, "periodo")
+
+
+@query(_ORDERS_BY_YEAR)
+def feed_through_writer(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream of several micro-batches that share their years, written to a history by year."""
+    folder, text = _orders_in_files(spark, sf, "writer-in")
+    root, state, held = (scratch_path(spark, n) for n in ("writer-out", "writer-state", "writer-held"))
+    stream = file_stream(spark, folder, "csv", text.schema, {"header": "true"}, max_files_per_trigger=3)
+    _finished(drain_to_tables(stream, state, held, _spec(spark, root, "history", _BY_YEAR)))
+    return sources.read_table(spark, f"{root}/orders").select(*text.columns, "periodo")

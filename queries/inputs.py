@@ -112,6 +112,13 @@ def row_text_sql(columns: list[str], text_columns: tuple[str, ...]) -> str:
 ORDER_COLUMNS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 ORDER_MD5_SQL = f"md5({row_text_sql(ORDER_COLUMNS, ORDER_TEXT)})"
 
+# what changed between the two snapshots, one statement for each way a key can have changed
+CHANGES_SQL = f"""WITH new_stock AS (SELECT *, {ORDER_MD5_SQL} AS ingesta_md5 FROM ({NEW_ORDERS_SQL})),
+    old_stock AS (SELECT *, {ORDER_MD5_SQL} AS ingesta_md5 FROM ({OLD_ORDERS_SQL}))
+    SELECT *, 'I' AS sdelta_operacion FROM new_stock WHERE SDELTA_ID NOT IN (SELECT SDELTA_ID FROM old_stock)
+    UNION ALL SELECT *, 'D' FROM old_stock WHERE SDELTA_ID NOT IN (SELECT SDELTA_ID FROM new_stock)
+    UNION ALL SELECT n.*, 'U' FROM new_stock n, old_stock o WHERE n.SDELTA_ID = o.SDELTA_ID AND n.ingesta_md5 IS DISTINCT FROM o.ingesta_md5"""
+
 LINE_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",

@@ -13,7 +13,7 @@ from acopio.plans.flow import run_flow
 from acopio.plans.writing import write_tables
 from acopio.sinks import tables as sinks
 from acopio.sources import tables
-from acopio.streaming.feed import append_batch, drain, file_stream, table_batch
+from acopio.streaming.feed import append_batch, drain, drain_to_tables, file_stream
 
 SPEC = (
     "p_id_ingesta string, id_control int, coleccion_salida string, p_nombre_tabla string, p_ruta_salida string, "
@@ -405,11 +405,28 @@ def test_feed_through_the_table_writer(spark, tmp_path):
     src.mkdir()
     (src / "a.csv").write_text("k,v\n1,a\n")
     s = history(tmp_path, "", p_expresion_campos_extras="concat('lote-', lote_numero) AS periodo", p_condicion_reproceso=None)
-    each = table_batch(spec(spark, s), {}, str(tmp_path / "audit"))
+    audits = []
     for name in (None, "b.csv"):
         if name:
             (src / name).write_text("k,v\n2,b\n")
-        drain(file_stream(spark, str(src), "csv", "k string, v string", {"header": "true"}), str(tmp_path / "ck"), each)
+        stream = file_stream(spark, str(src), "csv", "k string, v string", {"header": "true"})
+        audits.append(drain_to_tables(stream, str(tmp_path / "ck"), str(tmp_path / "held"), spec(spark, s)))
     assert rows(spark.read.parquet(f"{tmp_path}/t"), "k", "periodo") == [("1", "lote-0"), ("2", "lote-1")]
-    audit = spark.read.parquet(f"{tmp_path}/audit")
-    assert rows(audit, "lote", "estado", "cantidad_insertados") == [(0, "FINALIZADO", 1), (1, "FINALIZADO", 1)]
+    for audit in audits:
+        assert rows(audit, "estado", "cantidad_insertados") == [("FINALIZADO", 1)]
+    stream = file_stream(spark, str(src), "csv", "k string, v string", {"header": "true"})
+    assert drain_to_tables(stream, str(tmp_path / "ck"), str(tmp_path / "held"), spec(spark, s)).isEmpty()
+
+
+def test_micro_batches_of_one_period_do_not_replace_each_other(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    for i in range(5):
+        (src / f"{i}.csv").write_text(f"k,v\n{i},a\n")
+    bad = history(tmp_path, "p", p_expresion_campos_extras="no_such_column AS periodo")
+    good = history(tmp_path, "p")
+    for target, state in ((bad, "FALLIDO"), (good, "FINALIZADO")):  # what failed waits for the next run
+        stream = file_stream(spark, str(src), "csv", "k string, v string", {"header": "true"}, max_files_per_trigger=2)
+        audit = drain_to_tables(stream, str(tmp_path / "ck"), str(tmp_path / "held"), spec(spark, target))
+        assert rows(audit, "estado") == [(state,)]
+    assert rows(spark.read.parquet(f"{tmp_path}/t"), "k") == [(str(i),) for i in range(5)]
