@@ -102,7 +102,8 @@ FROM judged
 
 @query(OP1)
 def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = warc.resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    # written once: the operator reads its records three times, and the pages behind them are large
+    found = warc.resolve_revisits(stage(captures(table(spark, sf_dir, "pages")), "records"))
     entries = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws("=", e["key"], e["value"])))
     return found.select(
         "record_id", "url_key", F.unix_seconds("captured_at").alias("captured_s"), "verdict", "response_id",
