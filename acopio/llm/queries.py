@@ -172,14 +172,14 @@ def op5_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
-#: Results per query; terms of a document that make its query, and documents that such a term is in at least.
-TOP_K, QUERY_TERMS, LEAST_DF = 10, 32, 2
+#: Results per query. A query is all terms of its document.
+TOP_K = 10
 
 
 @query()
 def op6_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = search.search(docs, docs.where(F.col("doc_id") % 20 == 0), TOP_K, QUERY_TERMS, LEAST_DF)
+    found = search.search(docs, docs.where(F.col("doc_id") % 20 == 0), TOP_K)
     return found.select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 

@@ -163,6 +163,14 @@ def test_search_against_all_scores(spark, most, least, shard, block):
     assert search.search(docs.limit(0), queries.limit(0)).count() == 0
 
 
+def test_search_query_asks_for_every_term(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    queries = [r for r in rows if r[0] % 20 == 0]
+    assert any(len(search.terms(t)) > 32 for _, t in queries)
+    got = QUERIES["op6_bm25_search"](spark, SF).collect()
+    assert Counter((r["query_id"], r["doc_id"], r["score"]) for r in got) == plain_bm25(rows, queries, 10, None, 1)
+
+
 def plain_metrics(text):
     words = plain_words(text)
     windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
