@@ -296,6 +296,43 @@ def test_mixing(spark):
     assert mixing.mixed(docs.limit(0)).count() == 0
 
 
+def plain_near_copies(rows):
+    """The (doc_id, text) rows that stay, by comparing all pairs of shingle sets."""
+    sets = []
+    for _, text in rows:
+        words = plain_words((text or "").lower())
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if group[i] != group[j] and 5 * both >= 4 * either:
+                old = group[i]
+                group = [group[j] if g == old else g for g in group]
+    return {min((rows[i][0] is None, rows[i][0] or 0) for i in range(len(rows)) if group[i] == g) for g in group}
+
+
+@pytest.mark.parametrize("hot", [1, 64])
+def test_near_copies_against_all_pairs(spark, hot, monkeypatch):
+    monkeypatch.setattr("acopio.llm.shingles.HOT", hot)
+    rng = random.Random(12)
+    rows = [(9000, None), (9001, ""), (9002, " \n"), (9003, "One two"), (9004, "one  two"), (9005, "one three")]
+    boilerplate = [f"legal{i}" for i in range(30)]
+    for base in range(30):
+        words = boilerplate * (base % 2) + [f"b{base}w{rng.randrange(500)}" for _ in range(rng.choice([40, 100, 200]))]
+        rows.append((base * 100, " ".join(words)))
+        for k in range(1, 9):  # from equal to less than half alike
+            changed = list(words)
+            for at in rng.sample(range(len(changed)), min(len(changed), (k - 1) * len(changed) // 70 + (k > 1))):
+                changed[at] = f"new{rng.randrange(10**6)}"
+            rows.append((base * 100 + k, " ".join(changed)))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    want = plain_near_copies(rows)
+    got = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    assert len(got) == len(set(got)) and {(False, i) for i in got} == want and 31 < len(want) < len(rows) - 40
+
+
 def test_pipeline_stages(spark, tmp_path):
     base = spark.read.parquet(f"{SF}/documents.parquet")
     docs = base.withColumn("row", F.lit(1)).withColumn("score", F.lit("s")).withColumn("at", F.lit(2)).withColumn("n_words", F.lit(0))
