@@ -1,6 +1,6 @@
 """Licence scans by sentence rules.
 
-A text is cut in sentences and each is normalised. Sentences that are known from licence
+A text is cut in sentences, which may run over several lines, and each is normalised. Sentences that are known from licence
 texts are mapped to identifiers; the identifiers of a document, in order, are then matched
 against ordered licence rules: a rule that matches takes its identifiers, so that an
 exception or a longer licence, listed first, is not read again as the plain one. All of it is
@@ -81,12 +81,12 @@ RULES = [
     ("Proprietary", ["reserved"]),
 ]
 
-#: A sentence ends at a line end, or at one of these with white space or the end of the text after it.
-SENTENCE_END = "\n|[.!?;](?:[\\x20\\x09-\\x0D]|$)"
+#: A sentence ends at a blank line, or at one of these with white space or the end of the text after it.
+SENTENCE_END = "\n[\\x20\\x09-\\x0D]*\n|[.!?;](?:[\\x20\\x09-\\x0D]|$)"
 
 
 def sentences(text: Column) -> Column:
-    """The sentences of a text, normalised, in order; blank ones keep their place."""
+    """The sentences of a text, in order, with their line ends; blank ones keep their place."""
     plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9.!?;\\n\\x20\\x09-\\x0D]+", " ")
     return F.split(plain, SENTENCE_END)
 
@@ -95,17 +95,55 @@ def normalised(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(sentence, "[^a-z0-9]+", " "))
 
 
+def _known_runs(lines: Column, known: list[str]) -> Column:
+    """(start, known) of the runs of a sentence's lines that are known: the first ones, and of these the longest, without overlap."""
+    longest, most_lines = max(len(k) for k in known), max(len(k.split()) for k in known)
+    starts = sorted({" ".join(w[:n]) for w in (k.split() for k in known) for n in range(1, len(w) + 1)})
+    none = F.lit(None).cast("string")
+
+    def run(line: Column, at: Column) -> Column:
+        # no known sentence has more lines than words, so the lines looked at bound nothing
+        step = lambda acc, x: F.struct(
+            F.when(F.length(acc["said"]) > longest, acc["said"]).otherwise(F.ltrim(F.concat(acc["said"], F.lit(" "), x))).alias("said"),
+            (acc["n"] + 1).alias("n"), acc["hit"].alias("hit"), acc["size"].alias("size"),
+        )
+        judge = lambda acc: F.struct(
+            acc["said"].alias("said"), acc["n"].alias("n"),
+            F.when(acc["said"].isin(known), acc["said"]).otherwise(acc["hit"]).alias("hit"),
+            F.when(acc["said"].isin(known), acc["n"]).otherwise(acc["size"]).alias("size"),
+        )
+        zero = F.struct(F.lit("").alias("said"), F.lit(0).alias("n"), none.alias("hit"), F.lit(0).alias("size"))
+        found = F.aggregate(F.slice(lines, at + 1, most_lines), zero, lambda acc, x: judge(step(acc, x)))
+        return F.when(line.isin(starts), F.struct(at.alias("start"), found["size"].alias("size"), found["hit"].alias("known")))
+
+    runs = F.filter(F.transform(lines, run), lambda r: r["known"].isNotNull())
+    # a run that begins within the one before it is none
+    kept = F.aggregate(
+        runs,
+        F.struct(F.lit(0).alias("free"), F.array().cast("array<struct<start:int,known:string>>").alias("hits")),
+        lambda acc, r: F.when(
+            r["start"] >= acc["free"],
+            F.struct((r["start"] + r["size"]).alias("free"), F.concat(acc["hits"], F.array(F.struct(r["start"].alias("start"), r["known"].alias("known")))).alias("hits")),
+        ).otherwise(acc),
+    )
+    return kept["hits"]
+
+
 def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, list[str]] | None = None) -> DataFrame:
-    """(doc_id, at, sentence_id) of every known sentence; ``at`` is its number in the text."""
+    """(doc_id, at, sentence_id) of every known sentence; ``at`` tells its place in the text.
+
+    A known sentence may be wrapped over lines, or be one or more lines of a longer sentence.
+    """
     known = known or SENTENCES
     pairs = [(s, k) for k, own in known.items() for s in own]
     table = docs.sparkSession.createDataFrame(pairs, "known string, sentence_id string")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
-    cut = rows.select("doc_id", "row", F.posexplode(sentences(F.col("text"))).alias("at", "raw"))
-    # only sentences of a length that some known one has are normalised; the table is a constant of this module
-    longest = max(len(s) for s, _ in pairs)
-    fit = cut.where(F.length("raw").between(min(len(s) for s, _ in pairs), 3 * longest + 100))
-    return fit.select("doc_id", "row", "at", normalised(F.col("raw")).alias("known")).join(F.broadcast(table), "known").drop("known")
+    cut = rows.select("doc_id", "row", F.posexplode(sentences(F.col("text"))).alias("sentence", "raw"))
+    lines = F.filter(F.transform(F.split("raw", "\n"), normalised), lambda x: x != "")
+    cut = cut.select("doc_id", "row", "sentence", lines.alias("lines")).where(F.size("lines") > 0)
+    hits = cut.select("doc_id", "row", "sentence", F.explode(_known_runs(F.col("lines"), sorted({s for s, _ in pairs}))).alias("hit"))
+    at = F.struct("sentence", F.col("hit.start").alias("line"))
+    return hits.select("doc_id", "row", at.alias("at"), F.col("hit.known").alias("known")).join(F.broadcast(table), "known").drop("known")
 
 
 def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, list[str]] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:

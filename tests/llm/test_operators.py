@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 from datetime import datetime
@@ -80,6 +81,28 @@ def test_licences(spark):
     assert licenses.licences(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_wrapped_licences(spark):
+    parts = {
+        "mit": ["mit-grant", "mit-notice", "as-is-mit"], "titled": ["mit-named", "mit-grant"], "bsd": ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"],
+        "gpl": ["gpl3-free", "gpl-hope", "gpl-see", "gpl-received"], "isc": ["isc-grant"], "apache": ["apache2-licensed", "apache2-comply", "apache2-copy", "apache2-as-is", "apache2-see"],
+    }
+    rows = []
+    for name, ids in parts.items():
+        for width in (30, 72, 80):
+            for margin in ("", " * ", "# "):
+                own = [licenses.SENTENCES[i][0] + "." for i in ids]
+                if name == "titled":
+                    own = [own[0][:-1] + "\n" + own[1]]
+                lines = [x for s in own for one in s.split("\n") for x in textwrap.wrap(one, width)]
+                rows.append((name, "Some words before\n\n" + "\r\n".join(margin + x for x in lines)))
+    rows += [("spaced", "The" + " " * 5000 + "MIT license"), ("copy", "You may obtain a copy of the License at\n  http://www.apache.org/licenses/LICENSE-2.0\n\nother"), ("split", "the mit\n\nlicense agreement")]
+    got = licenses.licences(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    found = Counter((r["doc_id"], tuple(r["sentence_ids"])) for r in got)
+    assert found == Counter({(n, tuple(ids)): 9 for n, ids in parts.items()} | {("spaced", ("mit-named",)): 1, ("copy", ("apache2-copy",)): 1})
+    named = {r["doc_id"]: r["licences"] for r in got}
+    assert {n: named[n] for n in parts} == {"mit": ["MIT"], "titled": ["MIT"], "bsd": ["BSD-3-Clause"], "gpl": ["GPL-3.0-or-later"], "isc": ["ISC"], "apache": ["Apache-2.0"]}
+
+
 def toxic_sample(n, seed):
     rng = random.Random(seed)
     common = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(300)]
