@@ -5,7 +5,8 @@ like are taken out, and each node gets its link-adjusted characters per tag. A n
 sum adds up the densities of its children; the subtree with the largest sum holds the
 article. It is widened along the path to the body while siblings outside of it are at least
 as dense as the sparsest node of that path (the threshold) or are headings, and to the
-enclosing article; blocks beside the path that are mostly links stay out.
+enclosing article; blocks beside the path and outside of the article that are mostly links
+stay out, but headings don't.
 """
 
 from __future__ import annotations
@@ -38,6 +39,9 @@ OUT_WORDS = {
     "notice", "overlay", "pagination", "pager", "popup", "promo", "related", "reply", "replies", "responses", "share", "sharing", "sidebar", "social",
     "sponsor", "sponsored", "subscribe", "tags", "toolbar", "widget",
 }
+#: Out words for what readers wrote, and words that make a class name tell of something beside or within the node.
+READERS = {"comment", "comments", "disqus", "reply", "replies", "responses"}
+BESIDE = {"has", "no", "with", "without"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 CLOSES_P = {
     "address", "article", "aside", "blockquote", "center", "details", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form",
@@ -53,40 +57,71 @@ _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|aria-hidden|hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?|\"[^\"]*\"|'[^']*'")
 _NAME = re.compile(r"[a-z]+")
 _HUMP = re.compile(r"([a-z])([A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "out", "chars", "link_chars", "tags", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "out", "doubtful", "chars", "link_chars", "tags", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None, out: bool = False):
-        self.tag, self.parent, self.out = tag, parent, out
+        self.tag, self.parent, self.out, self.doubtful = tag, parent, out, 0
         self.children: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in OUT:
-        return True
-    if tag == "header" and not inside_article:
-        return True
-    if not attributes.strip():
-        return False
+def _doubt(name: str) -> int:
+    """Of a class name: 0 says nothing, 1 what is usually short beside the article, 2 what readers wrote, which may be longer."""
+    found = set(_NAME.findall(_HUMP.sub(r"\1 \2", name).lower()))
+    # "with-sidebar" tells what stands beside or within
+    if not found.isdisjoint(BESIDE) or OUT_WORDS.isdisjoint(found):
+        return 0
+    return 1 if READERS.isdisjoint(found) else 2
+
+
+def _left_out(tag: str, attributes: str, inside_article: bool) -> tuple[bool, int]:
+    """Whether an element is left out, and how far its class or id says that it may have to be."""
+    if tag in OUT or (tag == "header" and not inside_article):
+        return True, 0
+    doubtful, seen = 0, set()
     for m in _ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        name, value = (m[1] or "").lower(), m[2] or m[3] or m[4] or ""
+        if not name or name in seen:
+            continue
+        seen.add(name)
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, 0
         if name == "role" and value.lower() in OUT_ROLES:
-            return True
+            return True, 0
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            if not OUT_WORDS.isdisjoint(_NAME.findall(_HUMP.sub(r"\1 \2", value).lower())):
-                return True
+            if tag != "h1":
+                doubtful = max(doubtful, *map(_doubt, value.split()), 0)
         elif name == "class" and tag == "article" and {"comment", "comments", "reply"} & set(_NAME.findall(value.lower())):
-            return True
-    return False
+            return True, 0
+    return False, doubtful
+
+
+def _leave_out_doubtful(root: Node) -> None:
+    """Take out the nodes named by a class word, but not one that holds most of the text outside links or the page's title."""
+    nodes = _walk(root)
+    text, titled, linked, inside = {}, set(), set(), set()
+    for node in nodes:
+        if node.tag == "a" or (node.parent is not None and id(node.parent) in linked):
+            linked.add(id(node))
+        if node.tag in ("article", "main") or (node.parent is not None and id(node.parent) in inside):
+            inside.add(id(node))
+    for node in reversed(nodes):
+        own = 0 if id(node) in linked else sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        inner = [c for c in node.children if isinstance(c, Node) and not c.out]
+        text[id(node)] = own + sum(text[id(c)] for c in inner)
+        if node.tag in ("h1", "article", "main") or any(id(c) in titled for c in inner):
+            titled.add(id(node))
+    for node in nodes:
+        if node.doubtful:
+            most, title = 2 * text[id(node)] > text[id(root)], id(node) in titled
+            node.out = not (most and (node.doubtful == 1 or title)) and not (node.doubtful == 1 and title and id(node) in inside)
 
 
 def parse(page: str) -> Node:
@@ -132,7 +167,8 @@ def parse(page: str) -> Node:
             if node.tag not in INLINE and not (node.tag == "p" or node.tag in CLOSED_BY):
                 break
             node = node.parent
-        child = Node(tag, at, _left_out(tag, attributes or "", depth_article > 0))
+        child = Node(tag, at)
+        child.out, child.doubtful = _left_out(tag, attributes or "", depth_article > 0)
         at.children.append(child)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, end)
@@ -140,6 +176,7 @@ def parse(page: str) -> Node:
         elif tag not in VOID and not (attributes or "").rstrip().endswith("/"):
             depth_article += tag == "article"
             at = child
+    _leave_out_doubtful(root)
     return root
 
 
@@ -208,9 +245,11 @@ def _article(nodes: list[Node]) -> Node:
         outer = [n for n in path if n.tag == tag]
         if outer and chosen not in path[path.index(outer[-1]) :]:
             chosen = outer[-1]
-    for inner, outer in zip(path, path[1:]):
+    # an article keeps its own links
+    within = max((i for i, n in enumerate(path) if n.tag in ("article", "main")), default=0)
+    for inner, outer in zip(path[within:], path[within + 1 :]):
         for c in outer.children:
-            if isinstance(c, Node) and c is not inner and c.tag not in INLINE and _mostly_links(c):
+            if isinstance(c, Node) and c is not inner and c.tag not in INLINE and c.tag not in HEADINGS and _mostly_links(c):
                 c.out = True
     return chosen
 

@@ -289,6 +289,19 @@ def test_pages(spark):
     assert pages.main_text(long) == " ".join(f"word {i} &" for i in range(20_000))
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<article><div style='overflow:hidden'><p>first part</p></div><p title='hidden words'>second</p><p>see <a href=/hidden-x>this</a></p></article>", "first part second see this"),
+    ("<article><p>shown part</p><p hidden>a</p><p HIDDEN=''>b</p><p aria-hidden=true>c</p><p data-role=menu>d</p></article>", "shown part d"),
+    ("<div class='content with-sidebar'><p>the article of the page</p></div><div class=sidebar><p>beside</p></div>", "the article of the page"),
+    ("<div class='post has-comments'><p>the text</p></div><div class=comments><p>a much longer comment by a reader</p></div>", "the text"),
+    ("<div class='widget-text'><p>the article of the page</p><p>goes on</p></div>", "the article of the page goes on"),
+    ("<article><div class=entry-header><h1>Title</h1></div><p>the article of the page</p></article>", "Title the article of the page"),
+    ("<article><h1><a href=/x>Title</a></h1><div><p>some words</p><p>of the text</p></div><ul><li><a href=/y>source</a></ul></article>", "Title some words of the text source"),
+])
+def test_pages_keep_the_article(page, want):
+    assert pages.main_text(f"<html><body>{page}</body></html>") == want
+
+
 def plain_targets(sizes):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: i % 3 + 1 for i, s in enumerate(order)}
