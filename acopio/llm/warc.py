@@ -60,21 +60,26 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
     Strong and weak etags are compared weakly; if both have an etag, last_modified is not
     looked at. Only resolved and unvalidated revisits get merged headers: those of the
     response, with ``MAY_UPDATE`` ones of the revisit over them; others have null headers.
-    Earlier means an earlier time; of equally late responses the largest record_id counts.
+    Earlier means an earlier time; of equally late responses the largest record_id counts, null
+    last, and of equal ones any, but its id, validators and headers are those of one record. A
+    null or repeated record_id is nothing special otherwise: each record stands for itself, and
+    a response without an id gives a null response_id with its response_at and verdict.
     A null url or time can't be placed: such revisits are orphans, such responses are not
     used. Revisits given twice are resolved twice; an empty table gives no rows; other
     columns are not looked at.
     """
-    records = records.select(*SCHEMA)
-    keyed = records.select(
-        "record_id", "captured_at", canonical_url(F.col("url")).alias("url_key"), _is_response().alias("full"), (F.col("kind") == "revisit").alias("revisit"),
-        F.floor(F.unix_micros("captured_at") / (bucket_seconds * 1_000_000)).alias("bucket"),
+    # numbered and written once: the number tells records apart, whatever their ids are
+    records = records.select(
+        F.monotonically_increasing_id().alias("record"), "record_id", "captured_at", canonical_url(F.col("url")).alias("url_key"),
+        _is_response().alias("full"), (F.col("kind") == "revisit").alias("revisit"),
+        F.floor(F.unix_micros("captured_at") / (bucket_seconds * 1_000_000)).alias("bucket"), "etag", "last_modified", "headers",
     ).where("full or revisit")
-    keyed = stage(keyed, "captures")
-    placeable = keyed.where("url_key is not null and captured_at is not null")
+    records = stage(records, "captures")
+    placeable = records.where("url_key is not null and captured_at is not null")
     # of the responses of one moment one is enough, and revisits of a moment have one answer
-    moments = placeable.groupBy("url_key", "bucket", "captured_at").agg(F.max(F.when(F.col("full"), F.col("record_id"))).alias("id"), F.max("revisit").alias("asked"))
-    response = F.when(F.col("id").isNotNull(), F.struct("captured_at", "id"))
+    best = F.max(F.when(F.col("full"), F.struct("record_id", "record"))).alias("best")
+    moments = placeable.groupBy("url_key", "bucket", "captured_at").agg(best, F.max("revisit").alias("asked"))
+    response = F.when(F.col("best").isNotNull(), F.struct("captured_at", F.col("best.record_id").alias("id"), F.col("best.record").alias("record")))
     before = Window.partitionBy("url_key", "bucket").orderBy("captured_at").rowsBetween(Window.unboundedPreceding, -1)
     own = moments.withColumn("own", F.last(response, ignorenulls=True).over(before)).where("asked")
     ends = moments.groupBy("url_key", "bucket").agg(F.max(response).alias("end"))
@@ -82,23 +87,21 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
     carried = ends.withColumn("carried", F.last("end", ignorenulls=True).over(earlier)).drop("end")
     found = own.join(carried, ["url_key", "bucket"]).select("url_key", "captured_at", F.coalesce("own", "carried").alias("hit")).where("hit is not null")
     matched = (
-        keyed.where("revisit")
-        .select("record_id", "url_key", "captured_at")
+        records.where("revisit")
+        .select("record_id", "url_key", "captured_at", "etag", "last_modified", "headers")
         .join(found, ["url_key", "captured_at"], "left")
-        .select("record_id", "url_key", "captured_at", F.col("hit.id").alias("response_id"), F.col("hit.captured_at").alias("response_at"))
+        .withColumns({"response": F.col("hit.record"), "response_id": F.col("hit.id"), "response_at": F.col("hit.captured_at")})
+        .drop("hit")
     )
-    asked = records.where("kind = 'revisit'").select("record_id", "captured_at", "etag", "last_modified", "headers")
-    full = records.where(_is_response()).select(F.col("record_id").alias("response_id"), F.col("etag").alias("_etag"), F.col("last_modified").alias("_last"), F.col("headers").alias("_headers"))
-    full = full.dropDuplicates(["response_id"])
-    asked = asked.dropDuplicates(["record_id", "captured_at"]).withColumnRenamed("captured_at", "_at")
-    both = matched.join(asked, (matched.record_id == asked.record_id) & F.col("captured_at").eqNullSafe(F.col("_at"))).drop(asked.record_id).join(full, "response_id", "left")
+    full = records.where("full").select(F.col("record").alias("response"), F.col("etag").alias("_etag"), F.col("last_modified").alias("_last"), F.col("headers").alias("_headers"))
+    both = matched.join(full, "response", "left")
     return both.select("record_id", "url_key", "captured_at", _verdict().alias("verdict"), "response_id", "response_at", F.when(_verdict().isin("resolved", "unvalidated"), _merged()).alias("headers"))
 
 
 def _verdict() -> Column:
     weak = [F.regexp_replace(F.col(c), "^W/", "") for c in ("etag", "_etag")]
     return (
-        F.when(F.col("response_id").isNull(), "orphan")
+        F.when(F.col("response").isNull(), "orphan")
         .when(weak[0].isNotNull() & weak[1].isNotNull(), F.when(weak[0] == weak[1], "resolved").otherwise("changed"))
         .when(F.col("last_modified").isNotNull() & F.col("_last").isNotNull(), F.when(F.col("last_modified") == F.col("_last"), "resolved").otherwise("changed"))
         .otherwise("unvalidated")

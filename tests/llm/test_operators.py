@@ -65,6 +65,25 @@ def test_revisits(spark):
     assert warc.resolve_revisits(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_revisits_without_or_with_repeated_ids(spark):
+    at = [datetime(2024, 1, 1, h) for h in range(9)]
+    full = lambda i, u, t, e: (i, u, t, "response", 200, e, None, {"x": e})
+    again = lambda i, u, t, e: (i, u, t, "revisit", 304, e, None, None)
+    rows = [
+        full(1, "a.com/p", at[0], "old"), full(None, "a.com/p", at[1], "new"), again(None, "a.com/p", at[2], "new"), again(None, "a.com/p", at[3], "old"),
+        full(7, "b.com/p", at[0], "b"), full(7, "c.com/p", at[0], "c"), again(8, "b.com/p", at[2], "b"), again(8, "c.com/p", at[2], "c"), again(8, "c.com/p", at[2], "b"),
+        full(None, "d.com/p", at[0], "none"), full(2, "d.com/p", at[0], "two"), again(None, "d.com/p", at[1], "two"), again(None, "e.com/p", at[1], "e"),
+    ]
+    schema = "record_id long, url string, captured_at timestamp, kind string, status int, etag string, last_modified string, headers map<string,string>"
+    for seconds in (3600, 86_400 * 1000):
+        got = warc.resolve_revisits(spark.createDataFrame(rows, schema), seconds).collect()
+        assert Counter((r["url_key"], r["record_id"], r["captured_at"], r["verdict"], r["response_id"], r["response_at"], (r["headers"] or {}).get("x")) for r in got) == Counter([
+            ("a.com/p", None, at[2], "resolved", None, at[1], "new"), ("a.com/p", None, at[3], "changed", None, at[1], None),
+            ("b.com/p", 8, at[2], "resolved", 7, at[0], "b"), ("c.com/p", 8, at[2], "resolved", 7, at[0], "c"), ("c.com/p", 8, at[2], "changed", 7, at[0], None),
+            ("d.com/p", None, at[1], "resolved", 2, at[0], "two"), ("e.com/p", None, at[1], "orphan", None, None, None),
+        ])
+
+
 def test_licences(spark):
     rows = [
         (1, "Intro text.\nReleased under the MIT License.\nMore"), (2, "Licensed under the Apache License, Version 2.0. Then. RELEASED under the  MIT license!"),
