@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acopio.llm import licenses, mixing, packing, pages, quality, search, sharding, simhash, toxicity, warc
+from acopio.llm import licenses, mixing, packing, pages, quality, search, sharding, simhash, spelling, toxicity, warc
 from acopio.llm.text import hash_bucket
 from acopio.session import stage
 
@@ -222,3 +222,28 @@ SELECT doc_id, size, source_size, target, size * least(floor(k * rate + start) -
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.copies(table(spark, sf_dir, "documents"))
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source")
+
+
+#: One in this many words loses a letter, so that there are variants to find.
+SLIP_EVERY = 199
+LEAST_LETTERS, LEAST_COUNT = 6, 5
+
+
+def slipped_words(docs: DataFrame) -> DataFrame:
+    """(word, n): every run of letters of every text, some of them with a letter left out, counted.
+
+    A null doc_id is read as empty text. Runs that are too short before a letter is left out
+    cannot become words, so they are dropped first.
+    """
+    found = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(spelling.runs(F.col("text"))).alias("run"))
+    found = found.where(F.length("run") >= LEAST_LETTERS)
+    h = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
+    left_out = (h % F.length("run")).cast("int")
+    slipped = F.concat(F.substring(F.col("run"), F.lit(1), left_out), F.substring(F.col("run"), left_out + 2, F.length("run")))
+    words = found.select(F.when(h % SLIP_EVERY == 0, slipped).otherwise(F.col("run")).alias("word")).where(F.length("word") >= LEAST_LETTERS)
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_COUNT)
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(slipped_words(table(spark, sf_dir, "documents")))
