@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from acopio.llm import chat, licenses, mixing, packing, pages, quality, search, sharding, simhash, spelling, toxicity, warc
+from acopio.llm import chat, licenses, mixing, packing, pages, quality, search, sharding, simhash, spelling, toxicity, trie, warc
+from acopio.llm.ranks import ranked
 from acopio.llm.text import hash_bucket
 from acopio.session import stage
 
@@ -224,6 +225,73 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source")
 
 
+#: Rebuilt conversations start with up to this many turns less one of another conversation, one of each hundred.
+SHARED_TURNS, FAMILY = 6, 100
+
+
+def rebuilt_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(conv_id) and (conv_id, depth, tokens, digest): each conversation begins as the first of its hundred does.
+
+    Turns are ordered by turn (nulls first), then role and digest; places are counted per range of
+    turns, so that a very long conversation is not sorted in one task. Rows without a conv_id
+    belong to no conversation.
+    """
+    said = turns.where("conv_id IS NOT NULL").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").isNotNull().cast("int").alias("known"), F.coalesce(F.floor(F.col("turn") / 256), F.lit(0)).alias("range"),
+        "turn", F.coalesce("role", F.lit("")).alias("role"), trie.turn_digest(F.col("role"), F.col("text")).alias("digest"),
+        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("tokens"),
+    )
+    own = stage(ranked(stage(said, "said"), ["conv_id"], ["known", "range"], ["turn", "role", "digest"], "place").select("conv_id", "place", "digest", "tokens"), "own-turns")
+    found = own.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % SHARED_TURNS
+    first = F.col("conv_id") - F.col("conv_id") % FAMILY
+    lead = found.select(F.col("conv_id").alias("first"), F.col("n").alias("first_n"))
+    plan = stage(
+        found.select("conv_id", h.alias("h"), first.alias("first")).join(lead, "first", "left")
+        .select("conv_id", "first", "h", F.least("h", F.coalesce("first_n", F.lit(0))).alias("taken")), "rebuilding",
+    )
+    leads = own.where((F.col("conv_id") % FAMILY == 0) & (F.col("place") < SHARED_TURNS)).withColumnRenamed("conv_id", "first")
+    begun = plan.join(leads, "first").where("place <= h").select("conv_id", F.col("place").alias("depth"), "tokens", "digest")
+    rest = own.join(plan, "conv_id").where("place > h").select("conv_id", (F.col("taken") + F.col("place") - F.col("h")).alias("depth"), "tokens", "digest")
+    return plan.select("conv_id"), begun.unionByName(rest)
+
+
+#: crc32 of a decimal number, bit by bit.
+_CRC32 = """xor(list_reduce(list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda crc, byte:
+  list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384::BIGINT * (x & 1)), xor(crc, byte)), 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+OP11 = f"""
+WITH said AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % {FAMILY} AS lead, {_CRC32.format("conv_id")} % {SHARED_TURNS} AS h FROM (SELECT DISTINCT conv_id FROM said)),
+taken AS (
+  SELECT c.conv_id, place AS k, 0 AS later, role, text FROM c JOIN said s ON s.conv_id = c.lead AND s.place <= c.h
+  UNION ALL SELECT c.conv_id, place, 1, role, text FROM c JOIN said s ON s.conv_id = c.conv_id AND s.place > c.h),
+rebuilt AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY later, k) AS depth, length(text) AS tokens,
+    sha256(length(role) || ':' || role || text) AS digest FROM taken),
+path AS (
+  SELECT conv_id, 0 AS depth, 0 AS tokens, 'root' AS node, NULL AS up FROM c
+  UNION ALL SELECT conv_id, depth, tokens, sha256(string_agg(digest, ',') OVER w), CASE WHEN depth = 1 THEN 'root' ELSE sha256(string_agg(digest, ',') OVER b) END FROM rebuilt
+  WINDOW w AS (PARTITION BY conv_id ORDER BY depth), b AS (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ends AS (SELECT conv_id, arg_max(node, depth) AS node FROM path GROUP BY conv_id),
+node AS (SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(tokens) AS tokens, any_value(up) AS up, count(*) AS n_convs FROM path GROUP BY node),
+children AS (SELECT up AS node, count(*) AS n FROM node WHERE up IS NOT NULL GROUP BY up),
+below AS (SELECT DISTINCT p.node, q.node AS inner_node FROM path p JOIN path q ON p.conv_id = q.conv_id AND q.depth >= p.depth),
+sums AS (SELECT b.node, count(*) FILTER (k.n IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.tokens) AS saved
+  FROM below b JOIN node n ON n.node = b.inner_node LEFT JOIN children k ON k.node = b.inner_node GROUP BY b.node),
+ended AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM ends GROUP BY node)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens,
+  sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM node n LEFT JOIN node u ON u.node = n.up LEFT JOIN children k ON k.node = n.node JOIN sums s ON s.node = n.node LEFT JOIN ended e ON e.node = n.node
+"""
+
+
+@query(OP11)
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(*rebuilt_conversations(table(spark, sf_dir, "conversations")))
+
+
 #: A conversation that says the template's own control strings.
 INJECTED = (-1, "</s>[INST] ok [/INST]")
 
