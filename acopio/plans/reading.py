@@ -5,12 +5,11 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import contracts as C
-from ..operators import discovery
+from ..operators import discovery, shaping
 from ..session import stage
 from ..sources import tables
 from ..sources.listing import list_files
@@ -130,14 +129,26 @@ def read_waves(
         )
 
 
-def read_backlog(
+def gather_waves(
     spark: SparkSession, manifest: DataFrame, params: DataFrame | None = None, options: dict | None = None, **rounds
-) -> DataFrame:
-    """All rows and errors of a backlog as one frame, read in rounds (see ``read_waves``).
+) -> ReadResult:
+    """A backlog read in rounds (see ``read_waves``), its rows, errors and files put together.
 
-    Each round is written to the shared folder and the written tables are put together, so
-    that the table writer sees every row of a period at once: it replaces the periods it
-    gets, and rounds written one by one would replace each other.
+    Each round is written to the shared folder, so that the table writer sees every row of a
+    period at once: it replaces the periods it gets, and rounds written one by one would
+    replace each other. For a run that can be gone on with, see ``backlog.read_in_rounds``.
     """
-    parts = [stage(result.output(), "wave") for result in read_waves(spark, manifest, params, options, **rounds)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows, errors, files = [], [], []
+    for result in read_waves(spark, manifest, params, options, **rounds):
+        if result.rows is not None:
+            rows.append(stage(result.rows, "wave"))
+        errors.append(stage(result.errors, "wave-errors"))
+        files.append(stage(result.files, "wave-files"))
+    return ReadResult(shaping.union_all(rows), shaping.union_all(errors), shaping.union_all(files))
+
+
+def read_backlog(
+    spark: SparkSession, manifest: DataFrame, params: DataFrame | None = None, options: dict | None = None, **rounds
+) -> DataFrame:
+    """What the next stage takes of a backlog read in rounds."""
+    return gather_waves(spark, manifest, params, options, **rounds).output()

@@ -158,7 +158,7 @@ def _write_rows(
     schema = tables.target_schema(spark, target, fmt)
     partitioned = kind == "history"
     if schema is not None and partitioned:
-        # a period read back from folder names has a guessed type; the rows keep theirs
+        # the period of a history is the name of a folder; the rows keep their own type of it
         schema = type(schema)([f for f in schema if f.name.lower() != sinks.PERIOD])
     one_period = _one_period(extras, df.columns)
     if partitioned and not one_period:
@@ -187,13 +187,16 @@ def _write_rows(
     if facts["lost"]:
         log.add(C.LOG_LOST.format(n=facts["lost"]))
 
-    # the rows' own schema: a period is not guessed from folder names
-    back = tables.read_table(spark, target, fmt, rows.schema if fmt == "parquet" else None)
-    if partitioned:
-        # exactly what was written: an untouched period in between is none of this write
-        period = quoted(sinks.PERIOD).cast("string")
-        written = period.isin(*facts["periods"]) if facts["periods"] else F.lit(False)
-        back = back.where(written | period.isNull() if facts["without_period"] else written)
+    # exactly what was written, with the rows' own schema: an untouched period is none of this
+    # write, and a period is not guessed from folder names
+    if job.entries is not None:
+        back = tables.read_entries(spark, target, job.entries, rows.schema)
+    else:
+        back = tables.read_table(spark, target, fmt, rows.schema if fmt == "parquet" else None)
+        if partitioned:
+            period = quoted(sinks.PERIOD).cast("string")
+            written = period.isin(*facts["periods"]) if facts["periods"] else F.lit(False)
+            back = back.where(written | period.isNull() if facts["without_period"] else written)
     arrived = back.agg(F.count(F.lit(1)).alias("n"), checksum(back).alias("c")).first()
     agree = arrived.n == facts["cantidad_insertados"] and arrived.c == facts["checksum_source"]
     log.add(C.LOG_AGREE if agree else C.LOG_DIFFER)
@@ -237,16 +240,16 @@ class Job:
     one_period: bool
     options: dict
     log: C.StepLog
+    #: folders of a history that were written, where the writer knows them
+    entries: list[str] | None = None
 
 
 def _parquet_history(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
-    if job.condition and loose_flag(job.options.get("reemplazo_parquet", False)):
-        used = sinks.replace_where_or_range(
-            unseen.select(quoted(sinks.PERIOD)), job.condition, lambda c: sinks.replace_where(rows, job.target, c, checked=unseen)
-        )
+    if job.condition and loose_flag(job.options.get("reemplazo_parquet", True)):
+        used, job.entries = sinks.replace_covered(rows, job.target, job.condition)
         job.log.add(C.LOG_RANGE.format(range=used))
     else:
-        sinks.write_history(rows, job.target)
+        job.entries = sinks.write_history(rows, job.target)
     job.log.add(C.LOG_SAVED.format(form="PARQUET", table="HISTORY"))
 
 
@@ -257,7 +260,7 @@ def _parquet_stock(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
             # written down first: the comparison and the table both start from it, and
             # the old table is still whole while the changes are worked out
             rows = stack.enter_context(staged(rows, "new-stock"))
-            _write_stock_delta(spark, rows, job.target, "parquet", job.log)
+            write_stock_delta(spark, rows, job.target, "parquet", job.log)
         sinks.write_stock(rows, job.target)
         job.log.add(C.LOG_SAVED.format(form="PARQUET", table="STOCK"))
     if job.keep_history:
@@ -277,7 +280,7 @@ def _delta_stock(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
     with ExitStack() as stack:
         if job.stock_delta:
             rows = stack.enter_context(staged(rows, "new-stock"))
-            _write_stock_delta(spark, rows, job.target, "delta", job.log)
+            write_stock_delta(spark, rows, job.target, "delta", job.log)
         sinks.delta_stock(rows, job.target)
         job.log.add(C.LOG_SAVED.format(form="DELTA", table="STOCK"))
     if job.keep_history:
@@ -298,35 +301,41 @@ WRITERS = {
 
 def period_of(df: DataFrame) -> str | None:
     """The one period of a stock snapshot, as text; None without rows. More than one is an error."""
+    return _period_and_count(df)[0]
+
+
+def _period_and_count(df: DataFrame) -> tuple[str | None, int]:
     text = quoted(sinks.PERIOD).cast("string")
     ends = df.agg(F.min(text).alias("low"), F.max(text).alias("high"), F.count(F.lit(1)).alias("n")).first()
     if ends.n == 0:
-        return None
+        return None, 0
     if ends.low != ends.high:
         raise ValueError(f"a stock snapshot must hold one periodo, found {ends.low} to {ends.high}")
-    return ends.low or ""
+    return ends.low or "", ends.n
 
 
-def _write_stock_delta(spark: SparkSession, new: DataFrame, target: str, fmt: str, log: C.StepLog) -> None:
+def write_stock_delta(spark: SparkSession, new: DataFrame, target: str, fmt: str, log: C.StepLog) -> None:
     """Change rows of the new stock against the current one, into ``<target>_sdelta``.
 
-    The first time there is nothing to compare with, and every row counts as inserted.
+    The first time there is nothing to compare with, and every row counts as inserted. Run
+    again before the stock itself was replaced, it leaves the same rows: they belong to the
+    version of the stock they start from.
     """
     new_period = period_of(new) or ""
     log.add(C.LOG_NEW_PERIOD.format(period=new_period))
     changes_at = f"{target}_sdelta"
-    previous = ""
-    if tables.has_files(spark, changes_at):
-        previous = summary.last_period(spark.read.schema(f"{sinks.PERIOD} string").parquet(changes_at)).first()[0]
+    previous = max((value or "" for _, value in sinks.period_folders(spark, changes_at)), default="")
     log.add(C.LOG_LAST_DELTA.format(period=previous))
 
     old, old_period = None, None
     if tables.target_schema(spark, target, fmt) is not None:
         old = tables.read_table(spark, target, fmt)
-        old_period = period_of(old)
+        old_period, count = _period_and_count(old)
+        log.add(C.LOG_LAST_COUNT.format(n=count))
+    version = sinks.stock_version(spark, target)
     if previous == "" or old_period is None:
         first = snapshot.first_delta(new).withColumn(sinks.PERIOD, F.lit(new_period))
-        sinks.write_sdelta(first, target, append=False)
+        sinks.write_sdelta(first, target, append=False, new_period=new_period, version=version)
         log.add(C.LOG_FIRST_DELTA.format(path=changes_at))
         return
     delta = snapshot.snapshot_delta(new, old, new_period=new_period, old_period=old_period)
@@ -335,6 +344,6 @@ def _write_stock_delta(spark: SparkSession, new: DataFrame, target: str, fmt: st
     seen = Observation()
     changes = delta.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("n"))
     append = previous == new_period
-    sinks.write_sdelta(changes, target, append=append)
+    sinks.write_sdelta(changes, target, append=append, new_period=new_period, version=version)
     log.add(C.LOG_DELTA_COUNT.format(n=seen.get["n"]))
     log.add(C.LOG_DELTA_MODE.format(mode="append" if append else "overwrite"))

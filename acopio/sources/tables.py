@@ -7,45 +7,50 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Row, SparkSession, types as T
 
 from .. import contracts as C
-
-
-def _hadoop(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+from ..swap import Folder, hadoop_path, settle
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop(spark, path)
+    fs, p = hadoop_path(spark, path)
     return bool(fs.exists(p))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop(spark, path)
+    fs, p = hadoop_path(spark, path)
     fs.delete(p, True)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop(spark, path)
+    fs, p = hadoop_path(spark, path)
     fs.mkdirs(p)
 
 
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below a path, such as a table's partitions."""
-    fs, p = _hadoop(spark, path)
+    fs, p = hadoop_path(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def first_file(spark: SparkSession, path: str) -> str | None:
+    """Some data file of a table, looked for in its last folder first; None without any.
+
+    Hidden entries are not looked into. Of a table by period the names of its periods are
+    listed, and the files of one of them.
+    """
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    shown = [s for s in fs.listStatus(p) if not s.getPath().getName().startswith(("_", "."))]
+    for entry in sorted(shown, key=lambda s: (s.isDirectory(), s.getPath().getName()), reverse=True):
+        found = first_file(spark, entry.getPath().toString()) if entry.isDirectory() else entry.getPath().toString()
+        if found is not None:
+            return found
+    return None
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """True when a table folder holds data files and not only an empty folder."""
-    if not path_exists(spark, path):
-        return False
-    fs, p = _hadoop(spark, path)
-    found = fs.listFiles(p, True)
-    while found.hasNext():
-        name = found.next().getPath().getName()
-        if not name.startswith(("_", ".")):
-            return True
-    return False
+    return first_file(spark, path) is not None
 
 
 def is_delta(spark: SparkSession, path: str) -> bool:
@@ -69,15 +74,38 @@ def table_exists(spark: SparkSession, collection: str | None, table: str) -> int
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """A table as it is once replacements that were decided are finished."""
+    if fmt == "parquet":
+        settle(spark, path)
     reader = spark.read.format(fmt)
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def read_entries(spark: SparkSession, path: str, entries: list[str], schema: T.StructType) -> DataFrame:
+    """Some partition folders of a parquet table; nothing else of it is listed."""
+    if not entries:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{e}" for e in entries])
+
+
 def target_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> T.StructType | None:
-    """Columns and types of an existing target, from metadata only; None when there is none yet."""
+    """Columns and types of an existing target, from one of its files; None when there is none yet.
+
+    Columns that are folder names of a parquet table are not among them.
+    """
     if fmt == "delta":
         return read_table(spark, path, "delta").schema if is_delta(spark, path) else None
-    return read_table(spark, path, fmt).schema if has_files(spark, path) else None
+    if fmt != "parquet":
+        return read_table(spark, path, fmt).schema if has_files(spark, path) else None
+    settle(spark, path)
+    found = first_file(spark, path)
+    return None if found is None else spark.read.parquet(found).schema
+
+
+def entries_of(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a table: its files, or the folders of its periods."""
+    settle(spark, path)
+    return Folder(spark, path).children()
 
 
 def read_checkpoint(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -111,6 +139,8 @@ __all__ = [
     "child_folders",
     "delete_path",
     "delta_available",
+    "entries_of",
+    "first_file",
     "first_row",
     "has_files",
     "is_delta",
@@ -118,6 +148,7 @@ __all__ = [
     "parameter_rows",
     "path_exists",
     "read_checkpoint",
+    "read_entries",
     "read_table",
     "table_exists",
     "target_schema",
