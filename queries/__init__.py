@@ -1,4 +1,4 @@
-from . import files, intake, tables  # noqa: F401  (importing registers the queries)
+from . import files, intake, landed, tables, targets  # noqa: F401  (importing registers the queries)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

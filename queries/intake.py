@@ -113,13 +113,12 @@ def manifest_split(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("quality") == 0, C.OMITIDO_NO_LISTO)
         .alias("discovery_status"),
     )
-    full = discovery.with_defaults(raw)
-    return full.select(
-        "path",
-        F.col("discovery_status").alias("status"),
-        "source_file",
-        ((F.col("discovery_status") == C.PENDIENTE) & (F.trim("path") != "")).alias("pending"),
-        F.upper("discovery_status").startswith("ERROR").alias("inherited"),
+    full = stage(discovery.with_defaults(raw), "manifest")
+    told = lambda rows, name: rows.select("path", F.lit(True).alias(name))
+    split = full.join(told(discovery.pending_files(full), "pending"), "path", "left").join(told(discovery.inherited_errors(full), "inherited"), "path", "left")
+    return split.select(
+        "path", F.col("discovery_status").alias("status"), "source_file",
+        F.coalesce("pending", F.lit(False)).alias("pending"), F.coalesce("inherited", F.lit(False)).alias("inherited"),
     )
 
 

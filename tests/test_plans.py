@@ -11,7 +11,9 @@ from acopio.sinks.tables import by_period
 SF = "/root/testdata/sf0.001"
 # these run several jobs of their own; their parts are covered by the others
 HEAVY = {"csv_files", "json_files", "text_lines", "delimited_text", "parquet_files", "history_table", "write_audit",
-         "stock_delta_table", "stock_and_its_history", "replace_by_condition", "file_feed"}
+         "stock_delta_table", "stock_and_its_history", "replace_by_condition", "file_feed", "flow_in_rounds", "landed_files",
+         "landed_bytes", "landed_again", "gzip_landed", "walked_tree", "files_with_errors", "history_by_condition", "history_by_range",
+         "stock_delta_repeated", "audit_fields", "many_targets", "history_in_waves", "feed_through_writer"}
 
 
 def plan(df):
