@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import contracts as C
 from ..operators import discovery
 from ..sources import tables
-from ..sources.listing import list_files
+from ..sources.listing import qualified, walk_tree
 
 
 def root_uri(bucket: str) -> str:
@@ -16,7 +16,11 @@ def root_uri(bucket: str) -> str:
 
 
 def discover(
-    spark: SparkSession, upload: DataFrame | None, params: DataFrame | None = None, options: dict | None = None
+    spark: SparkSession,
+    upload: DataFrame | None,
+    params: DataFrame | None = None,
+    options: dict | None = None,
+    store_options: dict | None = None,
 ) -> DataFrame:
     """Pending files: those landed, or those below the landing prefix, without those already read.
 
@@ -48,8 +52,7 @@ def discover(
         if C.is_missing(prefix):
             return failed(C.MSG_MISSING_PARAMETER.format(name="relative_upload_file_path"))
         log.add(C.LOG_STANDALONE)
-        files = list_files(spark, f"{root_uri(blob)}/{prefix.strip('/')}/{C.ZONE_ORIGINAL}/")
-        manifest = discovery.manifest_from_paths(files)
+        manifest = _walked(spark, f"{root_uri(blob)}/{prefix.strip('/')}/{C.ZONE_ORIGINAL}", store_options)
 
     checkpoint_prefix = options.get("checkpoint_prefix")
     if raw is None:
@@ -63,6 +66,25 @@ def discover(
     return discovery.exclude_processed(manifest, tables.read_checkpoint(spark, path, C.READER_CHECKPOINT))
 
 
+def _walked(spark: SparkSession, root: str, store_options: dict | None) -> DataFrame:
+    """A manifest of everything below a folder, listed by tasks; the driver holds no names.
+
+    Paths are spelled as Spark spells them. Hidden files are left out, as Spark's readers do.
+    A directory that cannot be listed is an entry with its error; the root must be there.
+    """
+    files, errors = walk_tree(spark, root, store_options)
+    lost = errors.where(F.col("source") == root).first()
+    if lost is not None:
+        raise FileNotFoundError(lost.message)
+    shown = files.where(~F.col("relative_path").rlike("(^|/)[._]"))
+    found = discovery.manifest_from_paths(shown.select(qualified(F.col("path"), spark).alias("path")))
+    failed = errors.select(
+        F.lit(None).cast("string").alias("path"), F.col("status").alias("discovery_status"), F.col("message").alias("error_message"),
+        qualified(F.col("source"), spark).alias("source_file"),
+    )
+    return found.unionByName(failed)
+
+
 def checkpoint_path(bucket_raw: str, checkpoint_prefix: str) -> str:
     return f"{root_uri(bucket_raw)}/{checkpoint_prefix.strip('/')}"
 

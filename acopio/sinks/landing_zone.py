@@ -10,13 +10,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, types as T
 
 from .. import contracts as C
-from ..sources.store import CHUNK, GZIP_MAGIC, Store, spread
+from ..sources.deal import by_bytes
+from ..sources.faults import StoreUnreachable, tried
+from ..sources.store import CHUNK, GZIP_MAGIC, Store
 
 
 def with_content_hash(files: DataFrame, store_options: dict | None = None) -> DataFrame:
     """Adds ``hash`` (SHA-256 of the bytes) and ``hash_error``.
 
-    Files are read in chunks, so their size does not matter; each is one row of work.
+    Files are read in chunks, so their size does not matter; each is one row of work, and
+    tasks get equal shares of the bytes. A store that cannot be reached fails the job.
     """
     schema = T.StructType(list(files.schema)).add("hash", "string").add("hash_error", "string")
 
@@ -26,17 +29,23 @@ def with_content_hash(files: DataFrame, store_options: dict | None = None) -> Da
             found = []
             for path in batch["path"]:
                 try:
-                    h = hashlib.sha256()
-                    for chunk in store.chunks(path):
-                        h.update(chunk)
-                    found.append((h.hexdigest(), None))
+                    found.append((tried(lambda: content_hash(store, path)), None))
+                except StoreUnreachable:
+                    raise
                 except Exception as exc:
                     found.append((None, C.error_text(exc)))
             yield pd.concat(
                 [batch, pd.DataFrame(found, columns=["hash", "hash_error"], index=batch.index)], axis=1
             )
 
-    return spread(files, "path").mapInPandas(digest, schema)
+    return by_bytes(files).mapInPandas(digest, schema)
+
+
+def content_hash(store: Store, path: str) -> str:
+    h = hashlib.sha256()
+    for chunk in store.chunks(path):
+        h.update(chunk)
+    return h.hexdigest()
 
 
 _COPIED = (
@@ -73,14 +82,16 @@ def copy_files(files: DataFrame, landing_uri: str, prefix: str, store_options: d
                 try:
                     if row.hash_error is not None:
                         raise OSError(row.hash_error)
-                    copy_one(store, row.path, row.relative_path)
+                    tried(lambda: copy_one(store, row.path, row.relative_path))
                     out.append((*facts, f"{root}/{key}", C.PROCESADO, C.STEP_LOAD, ""))
+                except StoreUnreachable:
+                    raise
                 except Exception as exc:
                     _quarantine(store, row.path, zone(C.ZONE_QUARANTINE, row.relative_path))
                     out.append((*facts, "", C.ERROR_CARGA, C.STEP_LOAD, C.error_text(exc)))
             yield pd.DataFrame(out, columns=[f.split()[0] for f in _COPIED.split(", ")])
 
-    return spread(files, "path").mapInPandas(copy, _COPIED)
+    return by_bytes(files).mapInPandas(copy, _COPIED)
 
 
 def _is_gzip(store: Store, path: str) -> bool:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, types as T
 
 from .. import contracts as C
 from .excel import excel_options, header_names, sheet_rows
+from .faults import StoreUnreachable, tried
 from .store import Store, spread
 
 EMPTY = "empty"  # a text file without a single line: no rows, and no error
@@ -95,8 +96,32 @@ def _opens(store: Store, path: str) -> None:
         stream.read(1)
 
 
+def _look(store: Store, path: str, ext: str, options: dict[str, dict[str, str]]) -> tuple[str, bool]:
+    """Layout of a file, and whether it is a folder."""
+    info = store.info(path)
+    if info.type == pafs.FileType.NotFound:
+        raise FileNotFoundError(f"[PATH_NOT_FOUND] {path}")
+    is_dir = info.type == pafs.FileType.Directory
+    opts = options.get(ext) or {}
+    reader = reader_for(ext, opts)
+    if reader == "parquet":
+        return _parquet_layout(store, path), is_dir
+    if is_dir:
+        return "", is_dir
+    if reader == "excel":
+        return _excel_layout(store, path, excel_options(opts)), is_dir
+    if reader == "csv":
+        return _csv_layout(store, path, opts), is_dir
+    _opens(store, path)
+    return "", is_dir
+
+
 def probe(targets: DataFrame, options: dict[str, dict[str, str]], store_options: dict | None = None) -> DataFrame:
-    """The targets (``read_path, ext`` and any other text columns) with ``layout, is_dir, error``."""
+    """The targets (``read_path, ext`` and any other text columns) with ``layout, is_dir, error``.
+
+    An error is a fact about the file: it is missing, refused or unreadable. A store that
+    cannot be reached in a few tries fails the job.
+    """
     probed = T.StructType(list(targets.schema)).add("layout", "string").add("is_dir", "boolean").add("error", "string")
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -104,29 +129,12 @@ def probe(targets: DataFrame, options: dict[str, dict[str, str]], store_options:
         for batch in batches:
             rows = []
             for path, ext in zip(batch["read_path"], batch["ext"]):
-                layout = error = None
-                is_dir = False
                 try:
-                    info = store.info(path)
-                    if info.type == pafs.FileType.NotFound:
-                        raise FileNotFoundError(f"[PATH_NOT_FOUND] {path}")
-                    is_dir = info.type == pafs.FileType.Directory
-                    opts = options.get(ext) or {}
-                    reader = reader_for(ext, opts)
-                    if reader == "parquet":
-                        layout = _parquet_layout(store, path)
-                    elif is_dir:
-                        layout = ""
-                    elif reader == "excel":
-                        layout = _excel_layout(store, path, excel_options(opts))
-                    elif reader == "csv":
-                        layout = _csv_layout(store, path, opts)
-                    else:
-                        _opens(store, path)
-                        layout = ""
-                except Exception as exc:  # an unreadable file is a result row
-                    error = C.error_text(exc)
-                rows.append((layout, is_dir, error))
+                    rows.append((*tried(lambda: _look(store, path, ext, options)), None))
+                except StoreUnreachable:
+                    raise
+                except Exception as exc:  # a missing, refused or unreadable file is a result row
+                    rows.append((None, False, C.error_text(exc)))
             found = pd.DataFrame(rows, columns=["layout", "is_dir", "error"], index=batch.index)
             yield pd.concat([batch, found], axis=1)
 

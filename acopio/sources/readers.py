@@ -21,6 +21,7 @@ from ..operators import discovery, shaping
 from ..session import stage
 from .archives import unpack
 from .excel import excel_options, sheet_rows
+from .faults import refuses_a_file
 from .listing import qualified
 from .probe import EMPTY, flag, probe, reader_for
 from .store import Store, spread
@@ -220,10 +221,16 @@ def _load(spark: SparkSession, ext: str, options: dict[str, str], paths: list[st
 def _scan(
     spark: SparkSession, ext: str, options: dict[str, str], paths: list[str], errors: list[tuple[str, str]]
 ) -> list[DataFrame]:
-    """The scan of some files. If Spark refuses it, halve until only the bad files are left out."""
+    """The scan of some files. If Spark refuses it for a file in it, halve until only such files are left out.
+
+    Any other failure, such as a store that cannot be reached, is the caller's: it would
+    otherwise turn every file into an error row.
+    """
     try:
         return [_load(spark, ext, options, paths)]
     except Exception as exc:
+        if not refuses_a_file(exc):
+            raise
         if len(paths) == 1:
             errors.append((paths[0], C.error_text(exc)))
             return []
@@ -416,6 +423,18 @@ def _excel_rows(
                     yield from _frames(sheet_rows(raw, opts), path, source, skip, width)
 
     books = spread(_of_group(files, group).select("read_path", "path", "source_file"), "read_path")
+
+    def widest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store = Store(store_options)
+        for batch in batches:
+            for read in batch["read_path"]:
+                with store.seekable(read) as raw:
+                    yield pd.DataFrame({"width": [max((len(row) for row in sheet_rows(raw, opts)), default=0)]})
+
+    # rows may go on to the right of the header's last cell: those columns are named by their place
+    most = books.mapInPandas(widest, "width int").agg(F.max("width")).first()[0] or 0
+    names = [*names, *(f"_c{i}" if f"_c{i}" not in names else f"_c{i}_" for i in range(width, most))]
+    width = len(names)
     cells = books.mapInPandas(rows_of, "__path string, __source string, __cells array<string>")
     rows = cells.select(
         *[F.col("__cells")[i].alias(n) for i, n in enumerate(names)], F.col("__path"), F.col("__source")
