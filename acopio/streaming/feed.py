@@ -27,13 +27,24 @@ def file_stream(
     options: dict[str, str] | None = None,
     run_id: str = "stream",
     max_files_per_trigger: int = 10_000,
+    archive: str | None = None,
+    max_age: str = "3650d",
 ) -> DataFrame:
     """New files below ``source`` as all-text rows with lineage.
 
     ``max_files_per_trigger`` bounds one micro-batch, not the run: with
     ``availableNow`` all files present are taken, over as many batches as needed.
+
+    Files of batches that were committed move to ``archive``, a folder outside ``source``, so
+    a start lists what arrived since and not the whole past; those of a run's last batch move
+    when the next one starts. Without it they stay. ``max_age`` bounds what the checkpoint
+    has to remember: files that are older than the newest one by more are not looked at, so it
+    must exceed the time a delivery may be late.
     """
     reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = reader.option("maxFileAge", max_age)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     for name, value in (options or {}).items():
         reader = reader.option(name, value)
     raw = reader.load(source)

@@ -295,3 +295,19 @@ def feed_through_writer(spark: SparkSession, sf: str) -> DataFrame:
     stream = file_stream(spark, folder, "csv", text.schema, {"header": "true"}, max_files_per_trigger=3)
     _finished(drain_to_tables(stream, state, held, _spec(spark, root, "history", _BY_YEAR)))
     return sources.read_table(spark, f"{root}/orders").select(*text.columns, "periodo")
+
+
+@query(_ORDERS_BY_YEAR.replace(",\n    'y' || year(o_orderdate) AS periodo", ""))
+def feed_archived(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of three deliveries, each taken by a stream of its own; files that were taken leave the folder."""
+    folder, target, state, archive = (scratch_path(spark, n) for n in ("arrive-in", "arrive-out", "arrive-state", "arrive-kept"))
+    text = shaping.strings(table(spark, sf, "orders"))
+    present = lambda: list_files(spark, folder).count()
+    for i in range(3):
+        text.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == i).repartition(4).write.mode("append").option("header", "true").csv(folder)
+        stream = file_stream(spark, folder, "csv", text.schema, {"header": "true"}, max_files_per_trigger=2, archive=archive)
+        drain(stream, state, append_batch(target))
+    drain(file_stream(spark, folder, "csv", text.schema, {"header": "true"}, archive=archive), state, append_batch(target))
+    if present() > 4:
+        raise RuntimeError(f"{present()} files stayed in the folder")
+    return sources.read_table(spark, target).select(*text.columns)
