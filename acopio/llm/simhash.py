@@ -118,15 +118,19 @@ def _forest(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return edges
 
 
-def _verify(keys: np.ndarray, fps: np.ndarray, radius: int) -> pd.DataFrame:
+def _verify(keys: np.ndarray, fps: np.ndarray, radius: int, crowd: int) -> pd.DataFrame:
+    """Edges within each variant, and the members of those too crowded to be compared with each other."""
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, int)
     lengths = np.diff(np.r_[starts, len(keys)])
     two = starts[lengths == 2]
     two = two[_distance(fps[two], fps[two + 1]) <= radius]
-    edges = [e for s, n in zip(starts[lengths > 2], lengths[lengths > 2]) for e in _forest(fps[s : s + n], radius)]
+    several, big = (lengths > 2) & (lengths <= crowd), (lengths > max(2, crowd))
+    edges = [e for s, n in zip(starts[several], lengths[several]) for e in _forest(fps[s : s + n], radius)]
     more = np.array(edges, np.int64).reshape(-1, 2)
     a, b = np.r_[fps[two], more[:, 0]], np.r_[fps[two + 1], more[:, 1]]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "crowded": False}).drop_duplicates()
+    tied = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "crowded": False})
+    members = fps[np.repeat(big, lengths)]
+    return pd.concat([tied, pd.DataFrame({"a": members, "b": members, "crowded": True})]).drop_duplicates()
 
 
 def _meet(radius: int, crowd: int):
@@ -144,14 +148,14 @@ def _meet(radius: int, crowd: int):
             if done.start:  # more of a variant that was found crowded before
                 yield pd.DataFrame({"a": fps[: done.start], "b": fps[: done.start], "crowded": True})
             if done.stop > done.start:
-                yield _verify(keys[done], fps[done], radius)
+                yield _verify(keys[done], fps[done], radius, crowd)
             rest = max(done.start, last)
             keys, fps = keys[rest:], fps[rest:]
             if len(keys) > crowd:
                 yield pd.DataFrame({"a": fps, "b": fps, "crowded": True})
                 crowded, keys, fps = keys[-1], keys[:0], fps[:0]
         if len(keys):
-            yield _verify(keys, fps, radius)
+            yield _verify(keys, fps, radius, crowd)
 
     return run
 
