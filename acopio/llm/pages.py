@@ -34,10 +34,15 @@ OUT = {
 }
 OUT_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search", "toolbar"}
 OUT_WORDS = {
-    "ad", "ads", "adbox", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "byline", "comment", "comments",
+    "ad", "ads", "adbox", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
     "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter",
     "notice", "overlay", "pagination", "pager", "popup", "promo", "related", "reply", "replies", "responses", "share", "sharing", "sidebar", "social",
-    "sponsor", "sponsored", "subscribe", "tags", "toolbar", "widget",
+    "sponsor", "sponsored", "subscribe", "toolbar", "widget",
+}
+#: Words that say nothing by themselves: within an article a name counts only if it has no words but out words and these.
+PARTS = {
+    "area", "bar", "block", "box", "button", "buttons", "container", "inner", "item", "items", "links", "list", "panel", "posts", "section", "slot",
+    "unit", "wrap", "wrapper",
 }
 #: Out words for what readers wrote, and words that make a class name tell of something beside or within the node.
 READERS = {"comment", "comments", "disqus", "reply", "replies", "responses"}
@@ -72,12 +77,15 @@ class Node:
         self.density = self.sum = 0.0
 
 
-def _doubt(name: str) -> int:
+def _doubt(name: str, inside_article: bool) -> int:
     """Of a class name: 0 says nothing, 1 what is usually short beside the article, 2 what readers wrote, which may be longer."""
     found = set(_NAME.findall(_HUMP.sub(r"\1 \2", name).lower()))
     # "with-sidebar" tells what stands beside or within
     if not found.isdisjoint(BESIDE) or OUT_WORDS.isdisjoint(found):
         return 0
+    # "social-policy" is a matter of the article, "social-links" is not
+    if inside_article and not found <= OUT_WORDS | PARTS:
+        return 0
     return 1 if READERS.isdisjoint(found) else 2
 
 
@@ -97,7 +105,7 @@ def _left_out(tag: str, attributes: str, inside_article: bool) -> tuple[bool, in
             return True, 0
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
             if tag != "h1":
-                doubtful = max(doubtful, *map(_doubt, value.split()), 0)
+                doubtful = max(doubtful, 0, *(_doubt(word, inside_article) for word in value.split()))
         elif name == "class" and tag == "article" and {"comment", "comments", "reply"} & set(_NAME.findall(value.lower())):
             return True, 0
     return False, doubtful
