@@ -19,7 +19,7 @@ SENTENCES = {
     "apache2-copy": ["you may obtain a copy of the license at http www apache org licenses license 2 0", "you may obtain a copy of the license at"],
     "apache2-as-is": ["unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"],
     "apache2-see": ["see the license for the specific language governing permissions and limitations under the license"],
-    "mit-named": ["released under the mit license", "licensed under the mit license", "this project is licensed under the mit license", "the mit license", "mit license"],
+    "mit-named": ["released under the mit license", "licensed under the mit license", "this project is licensed under the mit license", "this project is licensed under the mit license see the license file for details", "this project is licensed under the terms of the mit license", "licensed under the mit license see license for details", "the mit license", "mit license", "spdx license identifier mit"],
     "mit-grant": ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"],
     "mit-notice": ["the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"],
     "as-is-mit": ["the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"],
@@ -31,7 +31,35 @@ SENTENCES = {
     "gpl-see": ["see the gnu general public license for more details"],
     "gpl-received": ["you should have received a copy of the gnu general public license along with this program"],
     "classpath-exception": ["as a special exception the copyright holders of this library give you permission to link this library with independent modules to produce an executable"],
-    "lgpl-work": ["licensed under the gnu lesser general public license version 2 1", "this work is licensed under the gnu lesser general public license version 3"],
+    "lgpl21-work": ["licensed under the gnu lesser general public license version 2 1", "this work is licensed under the gnu lesser general public license version 2 1"],
+    "lgpl3-work": ["this work is licensed under the gnu lesser general public license version 3", "licensed under the gnu lesser general public license version 3"],
+    "lgpl21-free": ["this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"],
+    "lgpl3-free": ["this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version", "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "lgpl-hope": ["this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"],
+    "lgpl-see": ["see the gnu lesser general public license for more details"],
+    "agpl3-free": ["this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "agpl-see": ["see the gnu affero general public license for more details"],
+    "gpl-part": ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"],
+    "lgpl-part": ["you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"],
+    "either-2": ["either version 2 of the license or at your option any later version"],
+    "either-21": ["either version 2 1 of the license or at your option any later version"],
+    "either-3": ["either version 3 of the license or at your option any later version"],
+    "epl2": ["this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0", "spdx license identifier epl 2 0"],
+    "zlib-grant": ["permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"],
+    "bsl-title": ["distributed under the boost software license version 1 0", "boost software license version 1 0"],
+    "spdx-apache2": ["spdx license identifier apache 2 0"],
+    "spdx-bsd2": ["spdx license identifier bsd 2 clause"],
+    "spdx-bsd3": ["spdx license identifier bsd 3 clause"],
+    "spdx-gpl2": ["spdx license identifier gpl 2 0", "spdx license identifier gpl 2 0 only"],
+    "spdx-gpl2-later": ["spdx license identifier gpl 2 0 or later"],
+    "spdx-gpl3": ["spdx license identifier gpl 3 0", "spdx license identifier gpl 3 0 only"],
+    "spdx-gpl3-later": ["spdx license identifier gpl 3 0 or later"],
+    "spdx-lgpl21-later": ["spdx license identifier lgpl 2 1 or later"],
+    "spdx-lgpl3-later": ["spdx license identifier lgpl 3 0 or later"],
+    "spdx-agpl3-later": ["spdx license identifier agpl 3 0 or later"],
+    "spdx-isc": ["spdx license identifier isc"],
+    "spdx-mpl2": ["spdx license identifier mpl 2 0"],
+    "spdx-cc0": ["spdx license identifier cc0 1 0"],
     "bsd-grant": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"],
     "bsd-source": ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"],
     "bsd-binary": ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"],
@@ -59,7 +87,34 @@ RULES = [
     ("GPL-2.0-or-later", ["gpl2-free"]),
     ("GPL-3.0-only", ["gpl3-work"]),
     ("GPL-2.0-only", ["gpl2-work"]),
-    ("LGPL", ["lgpl-work"]),
+    ("LGPL-2.1-or-later", ["lgpl21-free", "lgpl-hope", "lgpl-see"]),
+    ("LGPL-2.1-or-later", ["lgpl21-free"]),
+    ("LGPL-2.1-or-later", ["lgpl-part", "either-21"]),
+    ("LGPL-2.1-or-later", ["spdx-lgpl21-later"]),
+    ("LGPL-3.0-or-later", ["lgpl3-free", "lgpl-hope", "lgpl-see"]),
+    ("LGPL-3.0-or-later", ["lgpl3-free"]),
+    ("LGPL-3.0-or-later", ["lgpl-part", "either-3"]),
+    ("LGPL-3.0-or-later", ["spdx-lgpl3-later"]),
+    ("LGPL-2.1-only", ["lgpl21-work"]),
+    ("LGPL-3.0-only", ["lgpl3-work"]),
+    ("AGPL-3.0-or-later", ["agpl3-free", "gpl-hope", "agpl-see"]),
+    ("AGPL-3.0-or-later", ["agpl3-free"]),
+    ("AGPL-3.0-or-later", ["spdx-agpl3-later"]),
+    ("GPL-2.0-or-later", ["gpl-part", "either-2"]),
+    ("GPL-3.0-or-later", ["gpl-part", "either-3"]),
+    ("GPL-3.0-or-later", ["spdx-gpl3-later"]),
+    ("GPL-2.0-or-later", ["spdx-gpl2-later"]),
+    ("GPL-3.0-only", ["spdx-gpl3"]),
+    ("GPL-2.0-only", ["spdx-gpl2"]),
+    ("Apache-2.0", ["spdx-apache2"]),
+    ("BSD-3-Clause", ["spdx-bsd3"]),
+    ("BSD-2-Clause", ["spdx-bsd2"]),
+    ("EPL-2.0", ["epl2"]),
+    ("Zlib", ["zlib-grant"]),
+    ("BSL-1.0", ["bsl-title"]),
+    ("ISC", ["spdx-isc"]),
+    ("MPL-2.0", ["spdx-mpl2"]),
+    ("CC0-1.0", ["spdx-cc0"]),
     ("Apache-2.0", ["apache2-licensed", "apache2-comply", "apache2-copy", "apache2-as-is", "apache2-see"]),
     ("Apache-2.0", ["apache2-licensed"]),
     ("MIT", ["mit-named", "mit-grant", "mit-notice", "as-is-mit"]),
@@ -81,6 +136,13 @@ RULES = [
     ("Proprietary", ["reserved"]),
 ]
 
+#: A rule of only these says something where no other rule matches: licences that permit much reserve rights as well.
+YIELDING = {"reserved"}
+
+
+def yields(parts: list[str]) -> bool:
+    return set(parts) <= YIELDING
+
 #: A sentence ends at a blank line, or at one of these with white space or the end of the text after it.
 SENTENCE_END = "\n[\\x20\\x09-\\x0D]*\n|[.!?;](?:[\\x20\\x09-\\x0D]|$)"
 
@@ -151,7 +213,8 @@ def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kn
 
     ``sentence_ids`` lists the identifiers in text order, ``licences`` the matched licences in
     rule order without repeats, ``unmatched`` how many identifiers no rule took. A rule matches
-    where its identifiers follow one another, whatever unknown text lies between. Null and
+    where its identifiers follow one another, whatever unknown text lies between. Rules of
+    yielding identifiers only count where no other rule matches. Null and
     empty texts have no sentences, and rows without known ones are not returned. Repeated rows
     are scanned each for itself; a null id is passed on; other columns are not looked at.
     """
@@ -166,6 +229,7 @@ def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kn
         needle = "".join(f"|{p}|" for p in parts)
         seq = seq.withColumn(f"_m{i}", F.contains("left", F.lit(needle))).withColumn("left", F.replace("left", F.lit(needle), F.lit("/")))
         names.append(F.when(F.col(f"_m{i}"), F.lit(rules[i][0])))
-    matched = F.array_distinct(F.filter(F.array(*names), lambda x: x.isNotNull()))
+    told = lambda weak: F.array_distinct(F.filter(F.array(*(n for n, (_, p) in zip(names, rules) if yields(p) == weak), F.lit(None)), lambda x: x.isNotNull()))
+    matched = F.when(F.size(told(False)) > 0, told(False)).otherwise(told(True))
     rest = F.length(F.regexp_replace("left", "[^|]+", "")) / 2
     return seq.select("doc_id", "sentence_ids", matched.alias("licences"), rest.cast("long").alias("unmatched"))

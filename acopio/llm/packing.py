@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acopio.llm.text import words
+from acopio.llm import simhash
+from acopio.llm.text import n_words, words
 from acopio.session import stage
 
 CAPACITY = 4096
@@ -113,3 +114,16 @@ def clusters(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), words(F.lower(F.col(text_col))).alias("w")).select(
         "doc_id", "source", F.when(F.size(w) > 0, F.xxhash64(F.array_join(w, " "))).alias("cluster"), F.size(w).cast("long").alias("n_words")
     )
+
+
+def near_clusters(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """Items to pack: the cluster is the component of near-duplicate fingerprints, so near copies share one too.
+
+    Texts without words have none, though their fingerprints are equal.
+    """
+    prints = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("n_words"),
+        simhash.fingerprint(F.col(text_col)).alias("fp"),
+    )
+    marked = simhash.near_duplicates(stage(prints, "pack-prints"), component="cluster")
+    return marked.select("doc_id", "source", F.when(F.col("n_words") > 0, F.col("cluster")).alias("cluster"), "n_words")

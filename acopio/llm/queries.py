@@ -117,7 +117,7 @@ def _op2_sql() -> str:
     for i, (_, parts) in enumerate(licenses.RULES):
         needle = "".join(f"|{p}|" for p in parts)
         steps.append(f"r{i + 1} AS (SELECT *, contains(l{i}, '{needle}') AS m{i}, replace(l{i}, '{needle}', '/') AS l{i + 1} FROM r{i})")
-    names = ", ".join(f"CASE WHEN m{i} THEN '{n}' END" for i, (n, _) in enumerate(licenses.RULES))
+    names, weak = (", ".join(f"CASE WHEN m{i} THEN '{n}' END" for i, (n, p) in enumerate(licenses.RULES) if licenses.yields(p) == w) for w in (False, True))
     n = len(licenses.RULES)
     return f"""
 WITH known(known, sentence_id) AS (VALUES {known}),
@@ -126,7 +126,8 @@ cut AS (SELECT doc_id, rowid_, unnest(s) AS raw, generate_subscripts(s, 1) AS po
 hits AS (SELECT doc_id, rowid_, pos, sentence_id FROM (SELECT *, trim(regexp_replace(raw, '[^a-z0-9]+', ' ', 'g')) AS known FROM cut) JOIN known USING (known)),
 r0 AS (SELECT doc_id, ids, {left} AS l0 FROM (SELECT doc_id, rowid_, list(sentence_id ORDER BY pos) AS ids FROM hits GROUP BY ALL)),
 {", ".join(steps)},
-named AS (SELECT *, list_filter([{names}], lambda x: x IS NOT NULL) AS found FROM r{n})
+told AS (SELECT *, list_filter([{names}], lambda x: x IS NOT NULL) AS strong, list_filter([{weak}], lambda x: x IS NOT NULL) AS weak FROM r{n}),
+named AS (SELECT *, CASE WHEN len(strong) > 0 THEN strong ELSE weak END AS found FROM told)
 SELECT doc_id, array_to_string(ids, ',') AS sentence_ids,
   array_to_string(list_filter(found, lambda x, i: list_position(found, x) = i), ',') AS licences,
   (length(regexp_replace(l{n}, '[^|]+', '', 'g')) // 2)::BIGINT AS unmatched
@@ -193,7 +194,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.clusters(table(spark, sf_dir, "documents")))
+    return packing.pack(packing.near_clusters(table(spark, sf_dir, "documents")))
 
 
 @query()
