@@ -6,10 +6,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from acopio.llm import chat, queries, spelling, trie
+from acopio.llm import banding, chat, licenses, pages, queries, shingles, simhash, spelling, trie
 
 TURNS = "conv_id long, turn long, role string, text string, tokens string, shard string"
 
@@ -208,3 +210,90 @@ def test_spelling_query(spark):
     sf = "/root/testdata/sf0.001"
     counted = {r["word"]: r["n"] for r in queries.slipped_words(queries.table(spark, sf, "documents")).collect()}
     assert Counter(tuple(r) for r in queries.op13_spelling_variants(spark, sf).collect()) == plain_variants(counted)
+
+
+def test_class_words_inside_an_article():
+    page = """<body><nav>menu</nav><article><h1>Title</h1><p class="byline">By Ann Author</p><p>{}</p><p class="tags">about birds</p>
+    <p class="social-policy">The policy.</p><p id="notice-of-intent">The intent.</p><div class="ad-slot">Buy now</div><div class="social links">Share it</div>
+    <div class="comment-list"><p>first!</p></div></article><div class="related-articles">Other news</div></body>"""
+    text = pages.main_text(page.format("Words of the story. " * 40))
+    for kept in ("By Ann Author", "about birds", "The policy.", "The intent.", "Title"):
+        assert kept in text
+    for gone in ("Buy now", "Share it", "first!", "menu", "Other news"):
+        assert gone not in text
+
+
+def test_a_crowd_within_one_batch():
+    rng = np.random.default_rng(5)
+    fps = np.sort(rng.integers(-(2**62), 2**62, 9000))
+    key = np.r_[np.full(9000, 7), [9, 9]]
+    out = pd.concat(simhash._meet(3, 2048)(iter([pd.DataFrame({"key": key, "fp": np.r_[fps, [4, 5]]}), pd.DataFrame({"key": [10], "fp": [1]})])))
+    assert set(out[out.crowded].a) == set(fps) and [tuple(r) for r in out[~out.crowded][["a", "b"]].to_numpy()] == [(4, 5)]
+
+
+def test_banded_keys_find_four_fifths():
+    """Recall of the keys alone, over pairs of known similarity."""
+    rng = np.random.default_rng(2)
+    found = {s: 0 for s in (0.8, 0.85, 0.9)}
+    for s in found:
+        for _ in range(300):
+            n = int(rng.choice([10, 60, 400]))
+            both = max(1, round(2 * n * s / (1 + s)))
+            a, b = (np.unique(rng.integers(0, 2**63, n - both, np.uint64)) for _ in range(2))
+            common = rng.integers(0, 2**63, both, np.uint64)
+            found[s] += not set(banding.bands_of(np.r_[a, common])).isdisjoint(banding.bands_of(np.r_[b, common]))
+    assert all(n >= 297 for n in found.values())
+    assert banding.bands_of(np.empty(0, np.uint64)) == []
+
+
+@pytest.mark.parametrize("crowd", [1, 64])
+def test_banded_copies_against_all_pairs(spark, monkeypatch, crowd):
+    monkeypatch.setattr(banding, "CROWD", crowd)
+    monkeypatch.setattr(banding, "PER_CENTRE", 3)
+    rng = random.Random(7)
+    texts = []
+    for base in range(25):
+        words = [f"s{i}" for i in range(40)] * (base % 2) + [f"b{base}w{rng.randrange(300)}" for _ in range(rng.choice([30, 90]))]
+        for k in range(8):
+            changed = list(words)
+            for at in rng.sample(range(len(changed)), k * len(changed) // 80):
+                changed[at] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(changed))
+    texts = list(dict.fromkeys(texts))
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string").select("node", "text", banding.marks(F.col("text")).alias("m"))
+    rows = rows.dropDuplicates(["node"]).cache()
+    got = {r["node"]: r["component"] for r in banding.near_copies(rows.select("node", "m.n", "m.bits", "m.bands"), rows.select("node", "text")).collect()}
+    sets = [set(shingles.shingles(t).tolist()) for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and group[i] != group[j]:
+                old = group[i]
+                group = [group[j] if g == old else g for g in group]
+    want = Counter(group)
+    assert {i for i, g in enumerate(group) if want[g] > 1} == set(got)
+    assert len({got[i] for i in got}) == sum(n > 1 for n in want.values())
+    assert all((got[i] == got[j]) == (group[i] == group[j]) for i in got for j in got)
+
+
+@pytest.mark.parametrize(
+    "text, names",
+    [
+        ("Copyright (c) 2020 X. All rights reserved.\n\nLicensed under the BSD 3-Clause License.", ["BSD"]),
+        ("Copyright (c) 2020 X. All rights reserved.", ["Proprietary"]),
+        ("All rights reserved. Proprietary and confidential.", ["Proprietary"]),
+        ("This project is licensed under the MIT License - see the LICENSE file for details.", ["MIT"]),
+        ("// SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]),
+        ("SPDX-License-Identifier: GPL-3.0-or-later\n", ["GPL-3.0-or-later"]),
+        ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\n"
+         "version 2.1 of the License, or (at your option) any later version.", None),
+        ("Licensed under the GNU Lesser General Public License version 2.1.", ["LGPL-2.1-only"]),
+        ("This work is licensed under the GNU Lesser General Public License version 3.", ["LGPL-3.0-only"]),
+    ],
+)
+def test_licence_notices(spark, text, names):
+    got = licenses.licences(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    if names is not None:
+        assert [r["licences"] for r in got] == [names]
+    else:
+        assert got[0]["licences"] == ["LGPL-2.1-or-later"]
