@@ -279,8 +279,8 @@ def _decorate(rows: DataFrame, own: list[str], path: Column, source: Column, run
 # --- json: the types of a file come from all its rows --------------------------
 
 
-#: Layout of JSON files that only Spark's own reader can judge.
-_SPARK_JUDGED = "spark"
+#: Begins the layout of a JSON file that only Spark's own reader can judge; the file's name ends it.
+_SPARK_JUDGED = "spark:"
 
 
 def _json_layouts(catalogue: DataFrame, options: Options, files_per_scan: int) -> DataFrame:
@@ -318,13 +318,14 @@ def _json_layouts(catalogue: DataFrame, options: Options, files_per_scan: int) -
     told = F.array_sort(F.collect_list(F.when(F.col("split") & F.col("type").isNotNull(), F.concat_ws(":", "k", "type"))))
     found = marked.groupBy("file_key").agg(F.to_json(told).alias("types"), F.sum("parsed").alias("parsed"))
     is_json = (F.col("ext") == "json") & F.col("error").isNull() & ~F.col("is_dir")
-    types = F.when(F.col("parsed") == 0, F.lit(_SPARK_JUDGED)).otherwise(F.coalesce("types", F.lit(EMPTY)))
+    judged = F.concat(F.lit(_SPARK_JUDGED), "file_key")
+    types = F.when(F.col("parsed") == 0, judged).otherwise(F.coalesce("types", F.lit(EMPTY)))
     joined = catalogue.join(found, "file_key", "left")
     seen = stage(
         joined.select(*[c for c in catalogue.columns if c != "layout"], F.when(is_json, types).otherwise(F.col("layout")).alias("layout")),
         "read-catalogue",
     )
-    invalid = _invalid_json(seen.where(is_json & (F.col("layout") == _SPARK_JUDGED)), opts, files_per_scan)
+    invalid = _invalid_json(seen.where(is_json & F.col("layout").startswith(_SPARK_JUDGED)), opts, files_per_scan)
     if invalid is None:
         return seen
     nothing = F.when(F.col("invalid"), F.lit("no row of the file is valid JSON"))

@@ -234,3 +234,44 @@ def files_with_errors(spark: SparkSession, sf: str) -> DataFrame:
     file = _below("source_file", root)
     told = F.when(F.col("error_message").startswith("No hay") | (F.col("record_status") == C.ERROR_UPSTREAM), F.col("error_message")).when(F.col("error_message") != "", "told")
     return read.select(file.alias("file"), F.substring_index(file, "/", -1).alias("kind"), "record_status", "error_stage", told.alias("message"), "value")
+
+
+# --- json of mixed types and dialects -----------------------------------------------
+
+
+@query(
+    """SELECT cast(o_orderkey AS varchar) AS id, CASE WHEN o_orderstatus = 'O' THEN cast(cast(floor(o_totalprice) AS bigint) AS varchar) ELSE cast(o_totalprice AS varchar) END AS price,
+    CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderstatus = 'F' THEN 'true' ELSE o_orderpriority END AS note FROM orders"""
+)
+def json_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """A key that is whole in some files and a fraction in others, and one that is text, true or absent: each file keeps its own."""
+    root = scratch_path(spark, "json-mixed")
+    line = F.when(F.col("o_orderstatus") == "O", F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.floor("o_totalprice").cast("bigint").alias("price"), F.col("o_orderpriority").alias("note"))))
+    line = line.when(F.col("o_orderstatus") == "F", F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), F.lit(True).alias("note"))))
+    line = line.otherwise(F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"))))
+    lines = table(spark, sf, "orders").select(F.expr("o_orderkey div 8000").alias("range"), "o_orderstatus", line.alias("line"))
+    text = F.array_join(F.collect_list("line"), "\n").alias("text")
+    named = F.concat_ws("/", F.col("range").cast("string"), F.concat("o_orderstatus", F.lit(".json"))).alias("relative_path")
+    put_files(lines.groupBy("range", "o_orderstatus").agg(text).select(named, "text", F.lit(False).alias("zipped")), root)
+    return _read_all(spark, root, {"json": {}}).select("id", "price", "note")
+
+
+def _read_all(spark: SparkSession, root: str, options: dict) -> DataFrame:
+    found, _ = walk_tree(spark, root)
+    manifest = discovery.manifest_from_paths(found.select("path"))
+    return read_files(manifest, options, run_id="run-1", unzip_to=f"{root}/z").output()
+
+
+@query(
+    """SELECT cast(c_custkey AS varchar) AS id, CASE WHEN c_nationkey % 2 = 0 THEN cast(c_custkey AS varchar) ELSE cast(c_acctbal AS varchar) END AS amount,
+    CASE WHEN c_nationkey % 3 = 0 THEN c_name END AS name FROM customer"""
+)
+def json_dialects(spark: SparkSession, sf: str) -> DataFrame:
+    """Lenient JSON (single quotes, bare keys, keys that are optional) that only Spark's reader takes, one file per nation."""
+    root = scratch_path(spark, "json-dialects")
+    amount = F.when(F.col("c_nationkey") % 2 == 0, F.col("c_custkey").cast("string")).otherwise(F.col("c_acctbal").cast("string"))
+    name = F.when(F.col("c_nationkey") % 3 == 0, F.concat(F.lit(", name: '"), "c_name", F.lit("'"))).otherwise("")
+    line = F.concat(F.lit("{'id': "), F.col("c_custkey").cast("string"), F.lit(", amount: "), amount, name, F.lit("}"))
+    text = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.array_join(F.collect_list(line), "\n").alias("text"))
+    put_files(text.select(F.concat(F.col("c_nationkey").cast("string"), F.lit(".json")).alias("relative_path"), "text", F.lit(False).alias("zipped")), root)
+    return _read_all(spark, root, {"json": {"allowUnquotedFieldNames": "true"}}).select("id", "amount", "name")

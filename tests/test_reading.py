@@ -319,3 +319,10 @@ def test_read_stage_contracts(spark, tmp_path):
     assert read_normalise(spark, fine, params, {}).first().error == "Falta parámetro requerido 'relative_upload_file_path'"
     assert "'path'" in read_normalise(spark, spark.range(1), params).first().error
     assert read_normalise(spark, None, params).first().estado == "FALLIDO"
+
+
+def test_lenient_json_keeps_each_files_types(spark, tmp_path):
+    put(tmp_path, "a_1.json", "{'n': 1}\n")
+    put(tmp_path, "a_2.json", "{'n': 1.5}\n")
+    r = read(spark, tmp_path)
+    assert rows(r.rows, "n") == [("1",), ("1.5",)]
