@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from .. import contracts as C
-from ..functions import checksum, fingerprint_columns, local_time, row_hash, row_md5
+from ..functions import blank, checksum, fingerprint_columns, local_time, row_hash, row_md5
 from ..functions.fingerprint import quoted
 from ..operators import shaping, snapshot, summary
 from ..session import staged
@@ -61,16 +61,17 @@ def write_tables(
         )
         return spark.createDataFrame([Row(**passed)], C.AUDIT)
 
-    rows = list(tables.parameter_rows(specs))
-    nameless = [r for r in rows if C.is_missing(tables.parameter(r, "p_id_ingesta"))]
-    if nameless:
-        raise ValueError(f"{len(nameless)} write parameter row(s) without p_id_ingesta")
+    if specs is not None:
+        named = "p_id_ingesta" in specs.columns
+        nameless = (specs.where(blank(F.col("p_id_ingesta").cast("string"))) if named else specs).count()
+        if nameless:
+            raise ValueError(f"{nameless} write parameter row(s) without p_id_ingesta")
     audits = []
     with ExitStack() as stack:
-        if len(rows) > 1:
+        if specs is not None and specs.limit(2).count() > 1:
             # read and parsed once, whatever the number of targets
             df = stack.enter_context(staged(df, "write-input"))
-        for spec in rows:
+        for spec in tables.parameter_rows(specs):
             audits.append(_write_one(spark, df, spec, options, zone))
     return spark.createDataFrame([Row(**a) for a in audits], C.AUDIT)
 

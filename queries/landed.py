@@ -275,3 +275,16 @@ def json_dialects(spark: SparkSession, sf: str) -> DataFrame:
     text = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.array_join(F.collect_list(line), "\n").alias("text"))
     put_files(text.select(F.concat(F.col("c_nationkey").cast("string"), F.lit(".json")).alias("relative_path"), "text", F.lit(False).alias("zipped")), root)
     return _read_all(spark, root, {"json": {"allowUnquotedFieldNames": "true"}}).select("id", "amount", "name")
+
+
+@query(
+    """SELECT cast(o_orderkey AS varchar) AS o_orderkey, o_orderpriority AS origen_path, o_orderstatus AS origen_batch_id, cast(o_custkey AS varchar) AS origen_dataset FROM orders"""
+)
+def clashing_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in files whose columns are called like technical ones: the user's values are kept under other names."""
+    root = scratch_path(spark, "clashing")
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderpriority", "o_orderstatus", F.col("o_custkey").cast("string"))
+    body = F.concat(F.lit("o_orderkey,path,batch_id,dataset\n"), F.array_join(F.collect_list("line"), "\n"))
+    lines = table(spark, sf, "orders").select(F.expr("o_orderkey div 8000").alias("range"), line.alias("line")).groupBy("range").agg(body.alias("text"))
+    put_files(lines.select(F.concat(F.col("range").cast("string"), F.lit(".csv")).alias("relative_path"), "text", F.lit(False).alias("zipped")), root)
+    return _read_all(spark, root, {"csv": {"header": "true"}}).select("o_orderkey", "origen_path", "origen_batch_id", "origen_dataset")

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acopio import contracts as C
+from acopio.functions import reader_options
 from acopio.operators import landing, snapshot
 from acopio.plans.writing import write_stock_delta, write_tables
 from acopio.session import scratch_path
 from acopio.sources import tables as sources
 
 from .files import _CHANGE_COLUMNS, _SPEC, _finished, _plain, _spec
-from .inputs import CHANGES_SQL, NEW_ORDERS_SQL, OLD_ORDERS_SQL, files, labelled, new_orders, old_orders
+from .inputs import CHANGES_SQL, NEW_ORDERS_SQL, OLD_ORDERS_SQL, files, labelled, new_orders, old_orders, table
 from .registry import query
 
 _BY_YEAR = "concat('y', year(o_orderdate)) AS periodo"
@@ -162,3 +163,33 @@ def passed_failure(spark: SparkSession, sf: str) -> DataFrame:
     if sources.has_files(spark, f"{root}/orders"):
         raise RuntimeError("a failed status was written as rows")
     return audit.select("estado", "error", "cantidad_leidos", "cantidad_insertados")
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_nationkey % 4 = 3 THEN 2 ELSE 0 END AS types, CASE WHEN c_nationkey % 4 = 3 THEN ';' END AS sep FROM customer"""
+)
+def blank_options(spark: SparkSession, sf: str) -> DataFrame:
+    """Reader options that are absent, empty or blank are no options; the others are read."""
+    given = F.when(F.col("c_nationkey") % 4 == 1, "").when(F.col("c_nationkey") % 4 == 2, "   ").when(F.col("c_nationkey") % 4 == 3, '{"csv": {"sep": ";"}, "json": {}}')
+    options = reader_options(given)
+    rows = table(spark, sf, "customer").select("c_custkey", options.alias("options"))
+    return rows.select("c_custkey", F.size("options").alias("types"), F.col("options")["csv"]["sep"].alias("sep"))
+
+
+_STEPS = (
+    "Inicio", "Leído", "Aplicar campos extras", "Aplicar Cast Destino omitido, destino aún no existe", "Guardar PARQUET - HISTORY", "Conciliado", "Obtener Resumen",
+)
+
+
+@query(
+    f"""SELECT i::INTEGER AS place, step, true AS timed, (SELECT count(*) FROM ({NEW_ORDERS_SQL}))::BIGINT AS rows
+    FROM (SELECT unnest([{", ".join(f"'{s}'" for s in _STEPS)}]) AS step, generate_subscripts([{", ".join(f"'{s}'" for s in _STEPS)}], 1) AS i)"""
+)
+def step_log(spark: SparkSession, sf: str) -> DataFrame:
+    """What a write did, step by step, each with its time."""
+    root = scratch_path(spark, "step-log")
+    audit = write_tables(spark, _plain(new_orders(spark, sf)), _spec(spark, root, "history", _BY_YEAR))
+    steps = F.posexplode(F.split(F.substring_index("log_detail", " Ubicacion: ", 1), r" \| "))
+    each = audit.select(F.col("cantidad_insertados").alias("rows"), steps.alias("at", "entry"))
+    timed = r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d) (.*)$"
+    return each.select((F.col("at") + 1).alias("place"), F.regexp_extract("entry", timed, 2).alias("step"), F.col("entry").rlike(timed).alias("timed"), "rows")

@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 HEAVY = {"csv_files", "json_files", "text_lines", "delimited_text", "parquet_files", "history_table", "write_audit",
          "stock_delta_table", "stock_and_its_history", "replace_by_condition", "file_feed", "flow_in_rounds", "landed_files",
          "landed_bytes", "landed_again", "gzip_landed", "walked_tree", "files_with_errors", "history_by_condition", "history_by_range",
-         "stock_delta_repeated", "audit_fields", "many_targets", "history_in_waves", "feed_through_writer"}
+         "stock_delta_repeated", "audit_fields", "many_targets", "history_in_waves", "feed_through_writer", "feed_archived",
+         "json_mixed_types", "json_dialects", "clashing_columns", "step_log"}
 
 
 def plan(df):
