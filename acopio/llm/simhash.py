@@ -59,14 +59,17 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > size, bitorder="little").view(np.int64)[0])
 
 
-@F.pandas_udf(LongType())
-def _simhashes(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield pd.Series([simhash(t) for t in batch], dtype="int64")
+def _simhashes(shingle: int):
+    @F.pandas_udf(LongType())
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([simhash(t, shingle) for t in batch], dtype="int64")
+
+    return run
 
 
-def fingerprint(text: Column) -> Column:
-    return _simhashes(text)
+def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
+    return _simhashes(shingle)(text)
 
 
 def _signed(mask: int) -> int:
