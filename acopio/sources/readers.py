@@ -22,7 +22,7 @@ from ..session import stage
 from .archives import unpack
 from .excel import excel_options, sheet_rows
 from .faults import refuses_a_file
-from .listing import qualified
+from .listing import few_listing_tasks, qualified
 from .probe import EMPTY, flag, probe, reader_for
 from .store import Store, spread
 
@@ -54,14 +54,14 @@ def targets_of(
     manifest: DataFrame, options: Options, *, unzip_to: str, run_id: str, store_options: dict | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``read_path, path, source_file, ext`` of everything to read, and ``path, source_file, message`` of what cannot be."""
-    pending = discovery.pending_files(manifest).select("path").distinct()
     lower = F.lower("path")
-    is_zip = lower.endswith(".zip")
+    pending = discovery.pending_files(manifest).select("path").distinct()
+    # names are judged once and by many tasks; a manifest is few bytes and would be one task's
+    names = spread(pending, F.xxhash64("path")).select("path", file_type("path").alias("ext"), lower.endswith(".zip").alias("is_zip"))
+    named = stage(names, "read-names")
     compressed = lower.endswith(".gz") | lower.endswith(".gzip") | lower.endswith(".bz2")
-    plain = pending.where(~is_zip).select(
-        F.col("path").alias("read_path"), "path", F.col("path").alias("source_file"), file_type("path").alias("ext")
-    )
-    zips = pending.where(is_zip)
+    plain = named.where("NOT is_zip").select(F.col("path").alias("read_path"), "path", F.col("path").alias("source_file"), "ext")
+    zips = named.where("is_zip").select("path")
     refused: DataFrame | None = None
     if not zips.isEmpty():
         members, broken = unpack(zips, unzip_to, run_id, store_options)
@@ -77,7 +77,7 @@ def targets_of(
         .when(~known, F.concat(F.lit(no_before), "ext", F.lit(no_after)))
         .when(F.col("ext") == "unknown", F.concat(F.lit(un_before), "ext", F.lit(un_after)))
     )
-    judged = plain.withColumn("message", message)
+    judged = stage(plain.withColumn("message", message), "read-judged")
     bad = judged.where(F.col("message").isNotNull()).select("path", "source_file", "message")
     good = judged.where(F.col("message").isNull()).drop("message")
     return good, bad if refused is None else bad.unionByName(refused)
@@ -227,7 +227,8 @@ def _scan(
     otherwise turn every file into an error row.
     """
     try:
-        return [_load(spark, ext, options, paths)]
+        with few_listing_tasks(spark):
+            return [_load(spark, ext, options, paths)]
     except Exception as exc:
         if not refuses_a_file(exc):
             raise
@@ -302,7 +303,8 @@ def _json_layouts(catalogue: DataFrame, options: Options, files_per_scan: int) -
     spark = catalogue.sparkSession
     parts = []
     for paths in _paths(todo, files_per_scan):
-        text = spark.read.option("wholetext", str(flag(opts, "multiLine")).lower()).text([_literal(p) for p in paths])
+        with few_listing_tasks(spark):
+            text = spark.read.option("wholetext", str(flag(opts, "multiLine")).lower()).text([_literal(p) for p in paths])
         looked = text.where(F.trim("value") != "").select(metadata_path().alias("file_key"), F.try_parse_json(F.col("value")).alias("v"))
         each = looked.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer()))
         parts.append(
