@@ -256,14 +256,11 @@ def _parquet_history(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
 
 def _parquet_stock(rows: DataFrame, unseen: DataFrame, job: Job) -> None:
     spark = rows.sparkSession
-    with ExitStack() as stack:
-        if job.stock_delta:
-            # written down first: the comparison and the table both start from it, and
-            # the old table is still whole while the changes are worked out
-            rows = stack.enter_context(staged(rows, "new-stock"))
-            write_stock_delta(spark, rows, job.target, "parquet", job.log)
-        sinks.write_stock(rows, job.target)
-        job.log.add(C.LOG_SAVED.format(form="PARQUET", table="STOCK"))
+    # written once, beside the old table: the comparison starts from these files, and the
+    # old table is still whole while the changes are worked out
+    compare = lambda new: write_stock_delta(spark, new, job.target, "parquet", job.log)
+    sinks.write_stock(rows, job.target, compare if job.stock_delta else None)
+    job.log.add(C.LOG_SAVED.format(form="PARQUET", table="STOCK"))
     if job.keep_history:
         current = tables.read_table(spark, job.target)
         sinks.write_history(current if job.one_period else sinks.by_period(current), f"{job.target}_shist")
