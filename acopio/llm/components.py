@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from acopio.session import stage
@@ -22,8 +22,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, with their number and the sum of their hashes, both taken on the way."""
+    seen = Observation()
+    digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    edges = stage(edges.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "edges")
+    return edges, (seen.get["n"], seen.get["digest"])
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -32,19 +36,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
     ``edges`` has long columns ``a`` and ``b``; edges with a null or to the node itself say
     nothing and are left out, repeats count once, no edges give no rows. ``component`` is the
     smallest node reachable. Each round is a few joins and sums over the edges, combined
-    before they are shuffled, and is written to the shared folder; rounds grow with the
-    logarithm of the longest path.
+    before they are shuffled; rounds grow with the logarithm of the longest path. Both halves
+    of a round are written to the shared folder: as one plan the second half holds the first
+    twice, and what the driver keeps of plans and tasks doubles with it.
     """
     edges = (
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    edges = stage(edges, "edges")
-    state = _state(edges)
+    edges, state = _written(edges)
     while state[0]:
-        edges = stage(_small_star(_large_star(edges).distinct()).distinct(), "edges")
-        previous, state = state, _state(edges)
+        larger = stage(_large_star(edges).distinct(), "large-star")
+        previous = state
+        edges, state = _written(_small_star(larger).distinct())
         if state == previous:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
