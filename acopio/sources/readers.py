@@ -22,11 +22,13 @@ from ..session import stage
 from .archives import unpack
 from .excel import excel_options, sheet_rows
 from .faults import refuses_a_file
-from .listing import few_listing_tasks, qualified
+from .listing import few_listing_tasks, qualified, small_files_together
 from .probe import EMPTY, flag, probe, reader_for
 from .store import Store, spread
 
 Options = dict[str, dict[str, str]]
+#: Files of scans that are left to be read later: the driver keeps an entry for each. With more, scans are written one by one.
+FILES_HELD = 100_000
 
 
 @dataclass
@@ -91,13 +93,15 @@ def read_files(
     unzip_to: str,
     ingestion_ts: str | None = None,
     files_per_scan: int = 20_000,
+    files_held: int | None = None,
     store_options: dict | None = None,
 ) -> ReadResult:
     """Read the pending files of a manifest.
 
     Spark keeps one entry per file of a scan on the driver, so a layout with
-    more than ``files_per_scan`` files is read by several scans. To bound the
-    whole run as well, read it in waves (``plans.reading.read_waves``).
+    more than ``files_per_scan`` files is read by several scans. With more than
+    ``files_held`` files (``FILES_HELD``) in all, the rows of each scan are written to the shared
+    folder before the next one is planned, so that the driver holds one scan at a time.
     """
     spark = manifest.sparkSession
     # the manifest is looked at several times below; how it came about is worked out once
@@ -122,14 +126,17 @@ def read_files(
 
     frames: list[DataFrame] = []
     late_errors: list[tuple[str, str]] = []
-    for group in _groups(to_scan):
+    groups = _groups(to_scan)
+    several = sum(g.files for g in groups) > (FILES_HELD if files_held is None else files_held)
+    for group in groups:
         opts = dict(options.get(group.ext) or {})
         if reader_for(group.ext, opts) == "excel":
             frames.append(_excel_rows(to_scan, group, opts, run_id, stamp, store_options))
             continue
         for paths in _paths(_of_group(to_scan, group), files_per_scan):
             for scan in _scan(spark, group.ext, opts, paths, late_errors):
-                frames.append(_with_lineage(scan, to_scan, group, run_id, stamp))
+                rows = _with_lineage(scan, to_scan, group, run_id, stamp)
+                frames.append(_written(rows, "read-scan") if several else rows)
 
     read = readable.select("read_path", "path", "source_file")
     failed = refused.unionByName(
@@ -193,6 +200,12 @@ def _paths(files: DataFrame, size: int) -> Iterator[list[str]]:
         yield batch
 
 
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    """Rows of a scan, read at once, so that nothing of its files stays on the driver. Names are those of users: they go by place."""
+    with small_files_together(rows.sparkSession):
+        return stage(rows.toDF(*(f"c{i}" for i in range(len(rows.columns)))), label).toDF(*rows.columns)
+
+
 def _literal(path: str) -> str:
     """A path whose special characters are not taken for a glob pattern."""
     return "".join("\\" + ch if ch in "*?[]{}\\" else ch for ch in path)
@@ -307,11 +320,10 @@ def _json_layouts(catalogue: DataFrame, options: Options, files_per_scan: int) -
             text = spark.read.option("wholetext", str(flag(opts, "multiLine")).lower()).text([_literal(p) for p in paths])
         looked = text.where(F.trim("value") != "").select(metadata_path().alias("file_key"), F.try_parse_json(F.col("value")).alias("v"))
         each = looked.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer()))
-        parts.append(
-            each.groupBy("file_key", "key").agg(
-                F.schema_of_variant_agg("value").alias("type"), F.count_if(F.col("v").isNotNull()).alias("parsed")
-            )
+        types = each.groupBy("file_key", "key").agg(
+            F.schema_of_variant_agg("value").alias("type"), F.count_if(F.col("v").isNotNull()).alias("parsed")
         )
+        parts.append(_bounded(types, paths, files_per_scan, "json-types"))
     # digits of a decimal do not matter, all fractions are read as double; a null has no type
     plain = F.regexp_replace("type", r"DECIMAL\(\d+,\d+\)", "DOUBLE")
     keys = stage(shaping.union_all(parts).select("file_key", "key", F.nullif(plain, F.lit("VOID")).alias("type"), "parsed"), "json-keys")
@@ -335,6 +347,11 @@ def _json_layouts(catalogue: DataFrame, options: Options, files_per_scan: int) -
     return stage(seen.join(invalid, "file_key", "left").select(*[error if c == "error" else F.col(c) for c in seen.columns]), "read-catalogue")
 
 
+def _bounded(part: DataFrame, paths: list[str], files_per_scan: int, label: str) -> DataFrame:
+    """What a scan says of its files; written if more scans may follow, as the driver keeps the files of a plan."""
+    return _written(part, label) if len(paths) == files_per_scan else part
+
+
 def _invalid_json(files: DataFrame, opts: dict[str, str], files_per_scan: int) -> DataFrame | None:
     """``file_key, invalid`` of the files in which Spark's reader finds rows, but no valid one; None if there are none."""
     spark = files.sparkSession
@@ -350,10 +367,11 @@ def _invalid_json(files: DataFrame, opts: dict[str, str], files_per_scan: int) -
                 bad, beside = F.col(f"`{corrupt}`").isNotNull(), F.col("`" + own[0].replace("`", "``") + "`")
                 by_file = scan.select(metadata_path().alias("file_key"), bad.alias("bad"), beside.alias("beside")).groupBy("file_key")
                 judged = by_file.agg(F.min("bad").alias("invalid"), F.count("beside").alias("beside")).where(F.col("invalid") & (F.col("beside") >= 0))
-                parts.append(judged.select("file_key", "invalid"))
+                parts.append(_bounded(judged.select("file_key", "invalid"), paths, files_per_scan, "json-invalid"))
             else:
                 names = spark.createDataFrame([(p,) for p in paths], "read_path string")
-                parts.append(files.join(names, "read_path", "left_semi").select("file_key", F.lit(True).alias("invalid")))
+                none = files.join(names, "read_path", "left_semi").select("file_key", F.lit(True).alias("invalid"))
+                parts.append(_bounded(none, paths, files_per_scan, "json-invalid"))
     return shaping.union_all(parts)
 
 
@@ -394,11 +412,8 @@ def _inferred_csv_layouts(catalogue: DataFrame, options: Options, files_per_scan
             for scan in _scan(spark, group.ext, opts, paths, []):
                 names = ["`" + c.replace("`", "``") + "`" for c in scan.columns]
                 bits = [F.bit_or(F.expr(_KINDS.format(c=c))).cast("string") for c in names]
-                parts.append(
-                    scan.select("*", metadata_path().alias("file_key"))
-                    .groupBy("file_key")
-                    .agg(F.concat_ws(",", *bits).alias("types"))
-                )
+                types = scan.select("*", metadata_path().alias("file_key")).groupBy("file_key").agg(F.concat_ws(",", *bits).alias("types"))
+                parts.append(_bounded(types, paths, files_per_scan, "csv-types"))
     if not parts:
         return catalogue
     layout = F.concat_ws("\x1f", "layout", "types")
